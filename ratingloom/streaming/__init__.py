@@ -1,0 +1,5 @@
+"""No streaming operators: the rating features are batch computations.
+
+The single-level aggregates in ``ratingloom.operators`` take any DataFrame, so
+they can be applied to ``spark.readStream`` input in update mode unchanged.
+"""
