@@ -84,10 +84,16 @@ def with_base(sql: str) -> str:
     return f"WITH {views}\n{body}"
 
 
+#: Rounds to six digits. The same arithmetic runs in both engines, and the offset is a
+#: little over one half so that values ending in an exact half do not sit on the boundary.
+HALF = 0.5000137
+
+
 def rounded(df: DataFrame) -> DataFrame:
-    """Doubles and floats at six digits, without negative zero."""
+    """Doubles and floats at six digits."""
     return df.select(*[
-        (F.round(F.col(f"`{f.name}`").cast("double"), 6) + F.lit(0.0)).alias(f.name)
+        (F.floor(F.col(f"`{f.name}`").cast("double") * F.lit(1e6) + F.lit(HALF)) / F.lit(1e6))
+        .alias(f.name)
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)) else F.col(f"`{f.name}`")
         for f in df.schema.fields
     ])
@@ -106,7 +112,7 @@ def query(key: str, sql: str | None = None, doubles: str = ""):
         if sql is not None:
             text = with_base(sql)
             if doubles:
-                cut = ", ".join(f'round("{c}", 6) + 0.0 AS "{c}"' for c in doubles.split())
+                cut = ", ".join(f'floor("{c}" * 1e6 + {HALF}) / 1e6 + 0.0 AS "{c}"' for c in doubles.split())
                 text = f"SELECT * REPLACE ({cut}) FROM (\n{text}\n) AS checked"
             ORACLES[key] = text
         return fn
