@@ -79,8 +79,9 @@ def with_base(sql: str) -> str:
     body = sql.strip()
     if not views:
         return body
-    if body[:5].upper() == "WITH ":
-        return f"WITH {views},\n{body[5:]}"
+    for start in ("WITH RECURSIVE ", "WITH "):
+        if body.startswith(start):
+            return f"{start}{views},\n{body[len(start):]}"
     return f"WITH {views}\n{body}"
 
 
