@@ -45,16 +45,27 @@ three AS (SELECT x.item AS a, y.item AS b, z.item AS c, count(*) AS freq
           FROM t x JOIN t y USING ("userId") JOIN t z USING ("userId"), size
           WHERE x.item < y.item AND y.item < z.item GROUP BY 1, 2, 3
           HAVING count(*) >= 0.05 * any_value(n)),
-four AS (SELECT w.item AS a, x.item AS b, y.item AS c, z.item AS d, count(*) AS freq
-         FROM t w JOIN t x USING ("userId") JOIN t y USING ("userId") JOIN t z USING ("userId"),
-              size
-         WHERE w.item < x.item AND x.item < y.item AND y.item < z.item GROUP BY 1, 2, 3, 4
-         HAVING count(*) >= 0.05 * any_value(n)),
+b AS MATERIALIZED (SELECT "userId", list(item ORDER BY item) AS items FROM t GROUP BY 1),
+four AS MATERIALIZED (
+  SELECT list_append(p.items, x.item) AS items, count(*) AS freq
+  FROM (SELECT [a, b, c] AS items FROM three) AS p JOIN b ON list_has_all(b.items, p.items)
+  JOIN t x ON x."userId" = b."userId" AND x.item > p.items[-1], size
+  GROUP BY 1 HAVING count(*) >= 0.05 * any_value(n)),
+five AS MATERIALIZED (
+  SELECT list_append(p.items, x.item) AS items, count(*) AS freq
+  FROM four p JOIN b ON list_has_all(b.items, p.items)
+  JOIN t x ON x."userId" = b."userId" AND x.item > p.items[-1], size
+  GROUP BY 1 HAVING count(*) >= 0.05 * any_value(n)),
+six AS MATERIALIZED (
+  SELECT list_append(p.items, x.item) AS items, count(*) AS freq
+  FROM five p JOIN b ON list_has_all(b.items, p.items)
+  JOIN t x ON x."userId" = b."userId" AND x.item > p.items[-1], size
+  GROUP BY 1 HAVING count(*) >= 0.05 * any_value(n)),
 sets AS MATERIALIZED (
   SELECT items, freq, freq / CAST(n AS DOUBLE) AS support FROM (
     SELECT [a] AS items, freq FROM one UNION ALL SELECT [a, b], freq FROM two
-    UNION ALL SELECT [a, b, c], freq FROM three
-    UNION ALL SELECT [a, b, c, d], freq FROM four) AS u, size)
+    UNION ALL SELECT [a, b, c], freq FROM three UNION ALL SELECT items, freq FROM four
+    UNION ALL SELECT items, freq FROM five UNION ALL SELECT items, freq FROM six) AS u, size)
 """
 RULES = SETS + """,
 masks AS (SELECT items, support, unnest(range(1, (1 << len(items)) - 1)) AS mask FROM sets
@@ -126,8 +137,7 @@ def movie_bundles(star):
     return rules.movie_bundles(itemsets(star))
 
 
-@query("rule_subset_join", RULES + """,
-b AS (SELECT "userId", list(item) AS items FROM t GROUP BY 1)
+@query("rule_subset_join", RULES + """
 SELECT "userId", array_to_string(antecedents, '|') AS antecedents
 FROM b JOIN (SELECT DISTINCT antecedents FROM rules) AS r ON list_has_all(items, antecedents)
 """)
@@ -137,7 +147,6 @@ def rule_subset_join(star):
 
 
 @query("rule_recommend", RULES + """,
-b AS (SELECT "userId", list(item) AS items FROM t GROUP BY 1),
 best AS (SELECT antecedents, unnest(consequents) AS item, confidence FROM rules),
 s AS (SELECT "userId", item, max(confidence) AS score
       FROM b JOIN best ON list_has_all(items, antecedents) AND NOT list_contains(items, item)
