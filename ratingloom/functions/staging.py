@@ -35,3 +35,13 @@ def stage(df: DataFrame) -> DataFrame:
     path = f"{shared_dir(spark)}/stage-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Hash-partition a scan that has fewer input splits than the cluster has cores.
+
+    A table in a handful of row groups would otherwise keep everything up to the first
+    shuffle in that many tasks. A scan with enough splits is left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *keys)

@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ratingloom.functions.staging import stage
 from ratingloom.functions.stats import quantiles
 from ratingloom.operators.gram import gram_pairs
 from ratingloom.operators.matrix import known_pairs_filter
@@ -75,16 +76,19 @@ def jaccard(ratings: DataFrame, of: str = "user", min_common: int = 1) -> DataFr
 
 
 def similarity_to(units: DataFrame, wanted: DataFrame, min_common: int = 1) -> DataFrame:
-    """``entity, neighbor, sim, n_common`` between the few ``wanted(r)`` rows and all rows.
+    """The pair table restricted to pairs with one of the few ``wanted(r)`` rows.
 
     For answering requests: work and output are linear in the ratings for each wanted row.
     """
-    mine = units.join(wanted, "r", "left_semi").toDF("entity", "f", "w")
-    both = mine.join(units.toDF("neighbor", "f", "v"), "f").where("entity <> neighbor")
+    mine = units.join(wanted, "r", "left_semi").toDF("x", "f", "w")
+    both = mine.join(units.toDF("y", "f", "v"), "f").where("x <> y")
+    sums = both.groupBy("x", "y").agg(
+        F.sum(F.col("w") * F.col("v")).alias("sim"), F.count(F.lit(1)).alias("n_common"))
+    # a pair of two wanted rows was found from both sides
     return (
-        both.groupBy("entity", "neighbor").agg(
-            F.sum(F.col("w") * F.col("v")).alias("sim"), F.count(F.lit(1)).alias("n_common"))
-        .where(F.col("n_common") >= min_common)
+        sums.where(F.col("n_common") >= min_common)
+        .groupBy(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+        .agg(F.max("sim").alias("sim"), F.max("n_common").alias("n_common"))
     )
 
 
@@ -139,7 +143,7 @@ def nearest(directed: DataFrame, k: int) -> DataFrame:
     return directed.withColumn("place", place).where(F.col("place") <= k)
 
 
-def topk_neighbors(targets: DataFrame, train: DataFrame, directed: DataFrame, of: str, k: int,
+def topk_neighbors(targets: DataFrame, train: DataFrame, pairs: DataFrame, of: str, k: int,
                    wide: int = WIDE) -> DataFrame:
     """``entity, context, neighbor, sim, rating, place``: for each target the ``k`` most
     similar entities that have a rating in the target's context, with positive similarity.
@@ -153,7 +157,7 @@ def topk_neighbors(targets: DataFrame, train: DataFrame, directed: DataFrame, of
     row, other = KEYS[of]
     wanted = targets.select(F.col(row).alias("entity"), F.col(other).alias("context")).distinct()
     rated = train.select(F.col(other).alias("context"), F.col(row).alias("neighbor"), "rating")
-    positive = directed.where(F.col("sim") > 0).select("entity", "neighbor", "sim")
+    positive = pairs.where(F.col("sim") > 0).select("a", "b", "sim", "n_common")
     crowded = (
         rated.groupBy("context").agg(F.count(F.lit(1)).alias("n"))
         .where(F.col("n") > wide).select("context")
@@ -161,19 +165,20 @@ def topk_neighbors(targets: DataFrame, train: DataFrame, directed: DataFrame, of
     columns = ["entity", "context", "neighbor", "sim", "rating"]
 
     def whole_context(part: DataFrame) -> DataFrame:
-        return part.join(rated, "context").join(positive, ["entity", "neighbor"]).select(*columns)
+        met = part.join(rated, "context").withColumns({
+            "a": F.least("entity", "neighbor"), "b": F.greatest("entity", "neighbor")})
+        return met.join(positive, ["a", "b"]).select(*columns)
 
     if not crowded.limit(1).count():
         found = whole_context(wanted)
     else:
         quiet = wanted.join(crowded, "context", "left_anti")
         busy = wanted.join(crowded, "context", "left_semi")
-        near = nearest(
-            positive.join(busy.select("entity").distinct(), "entity", "left_semi"), wide)
+        near = nearest(both_ways(positive).join(
+            busy.select("entity").distinct(), "entity", "left_semi"), wide)
         sizes = near.groupBy("entity").agg(F.count(F.lit(1)).alias("listed"))
         hits = (
-            busy.join(near.drop("place"), "entity").join(rated, ["context", "neighbor"])
-            .select(*columns)
+            busy.join(near, "entity").join(rated, ["context", "neighbor"]).select(*columns)
         )
         counts = hits.groupBy("entity", "context").agg(F.count(F.lit(1)).alias("hits"))
         # a list shorter than ``wide`` holds every positive neighbour there is
@@ -206,7 +211,7 @@ def _combine(neighbors: DataFrame, value: Column, ks: Sequence[int]) -> DataFram
     )
 
 
-def predict_user_cf(targets: DataFrame, train: DataFrame, directed: DataFrame,
+def predict_user_cf(targets: DataFrame, train: DataFrame, pairs: DataFrame,
                     ks: Sequence[int] = (50,), bias: bool = True, wide: int = WIDE) -> DataFrame:
     """``k`` and ``prediction`` for each target (userId, movieId).
 
@@ -216,7 +221,7 @@ def predict_user_cf(targets: DataFrame, train: DataFrame, directed: DataFrame,
     """
     means = train.groupBy("userId").agg(F.avg("rating").alias("mean"))
     known = known_pairs_filter(targets.select("userId", "movieId").distinct(), train)
-    top = topk_neighbors(known, train, directed, "user", max(ks), wide)
+    top = topk_neighbors(known, train, pairs, "user", max(ks), wide)
     value = F.col("rating") - F.col("mean") if bias else F.col("rating")
     shifts = _combine(top.join(means.toDF("neighbor", "mean"), "neighbor"), value, ks)
     base = F.col("mean") if bias else F.lit(0.0)
@@ -230,7 +235,7 @@ def predict_user_cf(targets: DataFrame, train: DataFrame, directed: DataFrame,
     return _with_unknown(targets, predicted, ks)
 
 
-def predict_item_cf(targets: DataFrame, train: DataFrame, directed: DataFrame,
+def predict_item_cf(targets: DataFrame, train: DataFrame, pairs: DataFrame,
                     ks: Sequence[int] = (30,), wide: int = WIDE) -> DataFrame:
     """The baseline (global mean, user and item bias) plus the weighted deviations of the
     user's k most similar rated items from their baselines, clipped. The baseline alone
@@ -240,7 +245,7 @@ def predict_item_cf(targets: DataFrame, train: DataFrame, directed: DataFrame,
     users = train.groupBy("userId").agg((F.avg("rating") - F.lit(mean)).alias("bu"))
     items = train.groupBy("movieId").agg((F.avg("rating") - F.lit(mean)).alias("bi"))
     known = known_pairs_filter(targets.select("userId", "movieId").distinct(), train)
-    top = topk_neighbors(known, train, directed, "item", max(ks), wide)
+    top = topk_neighbors(known, train, pairs, "item", max(ks), wide)
     rich = top.join(items.toDF("neighbor", "bj"), "neighbor").join(
         users.toDF("context", "bu"), "context")
     shifts = _combine(
@@ -299,8 +304,8 @@ def recommend_user_cf(requests: DataFrame, ratings: DataFrame, n: int = 10, k: i
                       center: str | None = None) -> DataFrame:
     """The ``n`` unseen items with the highest predictions for each requested user."""
     wanted = requests.select(F.col("userId").alias("r"))
-    directed = similarity_to(vectors(ratings, "user", center), wanted)
-    predicted = predict_user_cf(candidate_items(requests, ratings), ratings, directed, (k,))
+    pairs = stage(similarity_to(vectors(ratings, "user", center), wanted))
+    predicted = predict_user_cf(candidate_items(requests, ratings), ratings, pairs, (k,))
     return best_first(predicted.drop("k"), n)
 
 
@@ -312,12 +317,12 @@ def recommend_item_cf(requests: DataFrame, ratings: DataFrame, n: int = 10, k: i
     """
     mine = ratings.join(requests.select("userId"), "userId", "left_semi")
     wanted = mine.select(F.col("movieId").alias("r")).distinct()
-    directed = shrink(similarity_to(vectors(ratings, "item", center), wanted), shrinkage)
+    pairs = stage(shrink(similarity_to(vectors(ratings, "item", center), wanted), shrinkage))
     unseen = candidate_items(requests, ratings)
     fans = mine.where(F.col("rating") >= liked).select(
         "userId", F.col("movieId").alias("entity"))
     closeness = (
-        fans.join(directed.where(F.col("sim") > 0), "entity")
+        fans.join(both_ways(pairs).where(F.col("sim") > 0), "entity")
         .groupBy("userId", F.col("neighbor").alias("movieId")).agg(F.max("sim").alias("sim"))
         .join(unseen, ["userId", "movieId"], "left_semi")
     )
@@ -328,9 +333,7 @@ def recommend_item_cf(requests: DataFrame, ratings: DataFrame, n: int = 10, k: i
         closeness.unionByName(without).withColumn("p", F.row_number().over(order))
         .where(F.col("p") <= 2 * n).select("userId", "movieId")
     )
-    towards = directed.select(F.col("neighbor").alias("entity"),
-                              F.col("entity").alias("neighbor"), "sim", "n_common")
-    return best_first(predict_item_cf(short, ratings, towards, (k,)).drop("k"), n)
+    return best_first(predict_item_cf(short, ratings, pairs, (k,)).drop("k"), n)
 
 
 # --- evaluation -----------------------------------------------------------------------------------
@@ -387,7 +390,7 @@ def cf_grid_search(train: DataFrame, test: DataFrame, similarities: dict[str, Da
     parts = []
     known = known_pairs_filter(test, train)
     for metric, pairs in similarities.items():
-        predicted = predict_user_cf(known, train, both_ways(pairs), ks)
+        predicted = predict_user_cf(known, train, pairs, ks)
         parts.append(evaluate_cf(predicted, ["k"]).withColumn("metric", F.lit(metric)))
     whole = parts[0]
     for part in parts[1:]:
@@ -399,8 +402,8 @@ def cf_compare(train: DataFrame, test: DataFrame, user_pairs: DataFrame, item_pa
                user_k: int = 50, item_k: int = 30) -> DataFrame:
     """Scores of user-based and item-based prediction on the same test rows."""
     known = known_pairs_filter(test, train)
-    users = predict_user_cf(known, train, both_ways(user_pairs), (user_k,))
-    items = predict_item_cf(known, train, both_ways(item_pairs), (item_k,))
+    users = predict_user_cf(known, train, user_pairs, (user_k,))
+    items = predict_item_cf(known, train, item_pairs, (item_k,))
     return (
         evaluate_cf(users).withColumn("method", F.lit("user_based"))
         .unionByName(evaluate_cf(items).withColumn("method", F.lit("item_based")))

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Rows per block: an accumulator has at most BLOCK_ROWS squared entries.
-BLOCK_ROWS = 1024
+BLOCK_ROWS = 2048
 #: Entries per (block, stripe) aimed at.
 CELL_ENTRIES = 2_000_000
 #: Products expanded at once inside a task.

@@ -209,30 +209,63 @@ def movie_bundles(itemsets: DataFrame, min_size: int = 2, max_size: int = 5, n:
                        F.size("items").alias("size"), "support")
 
 
-def rule_subset_join(rules: DataFrame, baskets: DataFrame) -> DataFrame:
-    """``userId, antecedents``: the antecedents wholly inside a user's basket.
+def rule_sides(rules: DataFrame) -> DataFrame:
+    """``side, antecedents``: a number for each distinct antecedent list."""
+    return stage(rules.select("antecedents").distinct().withColumn(
+        "side", F.monotonically_increasing_id()))
 
-    An equi-join on the item and a count, instead of comparing every basket with every rule.
+
+def rule_subset_join(rules: DataFrame, baskets: DataFrame, sides: DataFrame | None = None
+                     ) -> DataFrame:
+    """``userId, side, antecedents``: the antecedents wholly inside a user's basket.
+
+    Each antecedent list is joined to the baskets through its rarest item only, and the
+    join condition checks the others on bit sets. The bit sets cover the items of the
+    rules, a bounded number, so neither side grows with one user's history.
     """
-    sides = rules.select("antecedents").distinct()
-    needed = sides.select("antecedents", F.size("antecedents").alias("needed"),
-                          F.explode("antecedents").alias("item"))
+    sides = rule_sides(rules) if sides is None else sides
+    used = sides.select(F.explode("antecedents").alias("item")).distinct()
+    kept = stage(baskets.select("userId", "item").join(used, "item", "left_semi").distinct())
+    numbers = stage(
+        kept.groupBy("item").agg(F.count(F.lit(1)).alias("freq"))
+        .join(dense_index(used, "item", "i"), "item")
+    )
+    words = (used.count() + WORD - 1) // WORD
+
+    def bit_sets(df: DataFrame, key: str) -> DataFrame:
+        bit = F.expr(f"shiftleft(cast(1 as bigint), cast(i % {WORD} as int))")
+        return df.join(numbers, "item").groupBy(key).agg(*[
+            F.coalesce(F.bit_or(F.when(F.expr(f"i div {WORD} = {w}"), bit)), F.lit(0))
+            .alias(f"{key}_{w}")
+            for w in range(words)
+        ])
+
+    items = sides.select("side", "antecedents", F.explode("antecedents").alias("item"))
+    rarest = items.join(numbers, "item").groupBy("side").agg(
+        F.min(F.struct("freq", "item"))["item"].alias("item"))
+    needed = bit_sets(items, "side").join(rarest, "side").join(sides, "side")
+    held = kept.join(bit_sets(kept, "userId"), "userId")
+    inside = F.lit(True)
+    for w in range(words):
+        inside = inside & (F.col(f"userId_{w}").bitwiseAND(F.col(f"side_{w}"))
+                           == F.col(f"side_{w}"))
     return (
-        baskets.select("userId", "item").join(needed, "item")
-        .groupBy("userId", "antecedents")
-        .agg(F.count(F.lit(1)).alias("found"), F.first("needed").alias("needed"))
-        .where(F.col("found") == F.col("needed")).select("userId", "antecedents")
+        held.withColumnRenamed("item", "anchor")
+        .join(needed, (F.col("anchor") == F.col("item")) & inside)
+        .select("userId", "side", "antecedents")
     )
 
 
 def rule_recommend(rules: DataFrame, baskets: DataFrame, n: int = 5) -> DataFrame:
     """``userId, item, score, place``: unseen consequents by the best confidence of any rule."""
+    sides = rule_sides(rules)
     best = (
         rules.select("antecedents", "confidence", F.explode("consequents").alias("item"))
-        .groupBy("antecedents", "item").agg(F.max("confidence").alias("score"))
+        .join(sides, "antecedents").groupBy("side", "item")
+        .agg(F.max("confidence").alias("score"))
     )
     scored = (
-        rule_subset_join(rules, baskets).join(best, "antecedents")
+        rule_subset_join(rules, baskets, sides).select("userId", "side").join(best, "side")
         .groupBy("userId", "item").agg(F.max("score").alias("score"))
         .join(baskets.select("userId", "item"), ["userId", "item"], "left_anti")
     )

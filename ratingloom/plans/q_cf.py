@@ -247,7 +247,7 @@ SELECT "userId", "movieId", p.prediction FROM test LEFT JOIN p USING ("userId",
 def predict_user_cf(star):
     train, test = split(star)
     pairs = stage(cf.similarity(train, "user"))
-    return cf.predict_user_cf(test.select("userId", "movieId"), train, cf.both_ways(pairs),
+    return cf.predict_user_cf(test.select("userId", "movieId"), train, pairs,
                               (50,)).drop("k")
 
 
@@ -258,7 +258,7 @@ SELECT "userId", "movieId", p.prediction FROM test LEFT JOIN p USING ("userId",
 def predict_item_cf(star):
     train, test = split(star)
     pairs = stage(cf.shrink(cf.similarity(train, "item", "other")))
-    return cf.predict_item_cf(test.select("userId", "movieId"), train, cf.both_ways(pairs),
+    return cf.predict_item_cf(test.select("userId", "movieId"), train, pairs,
                               (30,)).drop("k")
 
 
@@ -268,7 +268,7 @@ def evaluate_cf(star):
     train, test = split(star)
     pairs = stage(cf.similarity(train, "user"))
     known = cf.known_pairs_filter(test, train)
-    return cf.evaluate_cf(cf.predict_user_cf(known, train, cf.both_ways(pairs), (50,)))
+    return cf.evaluate_cf(cf.predict_user_cf(known, train, pairs, (50,)))
 
 
 @query("cf_grid_search", "WITH " + SPLIT + "," + COSINE + "," + PEARSON + "," + ",".join(

@@ -19,6 +19,11 @@ def itemsets(star):
     return stage(rules.frequent_itemsets(baskets(star), SUPPORT))
 
 
+def strong_rules(found):
+    sets = stage(rules.frequent_itemsets(found, SUPPORT))
+    return stage(rules.association_rules(sets, CONFIDENCE))
+
+
 @query("transactions", """
 WITH liked AS (SELECT DISTINCT "userId", coalesce(title, 'Movie_' || "movieId") AS item
                FROM ratings LEFT JOIN movies USING ("movieId") WHERE rating >= 4),
@@ -142,8 +147,8 @@ SELECT "userId", array_to_string(antecedents, '|') AS antecedents
 FROM b JOIN (SELECT DISTINCT antecedents FROM rules) AS r ON list_has_all(items, antecedents)
 """)
 def rule_subset_join(star):
-    strong = rules.association_rules(itemsets(star), CONFIDENCE)
-    return listed(rules.rule_subset_join(strong, baskets(star)), "antecedents")
+    found = baskets(star)
+    return listed(rules.rule_subset_join(strong_rules(found), found).drop("side"), "antecedents")
 
 
 @query("rule_recommend", RULES + """,
@@ -156,8 +161,8 @@ SELECT *, CAST(row_number() OVER (PARTITION BY "userId" ORDER BY round(score, 9)
 FROM s QUALIFY place <= 5
 """, "score")
 def rule_recommend(star):
-    return rules.rule_recommend(rules.association_rules(itemsets(star), CONFIDENCE),
-                                baskets(star))
+    found = baskets(star)
+    return rules.rule_recommend(strong_rules(found), found)
 
 
 @query("mining_summary", RULES + """

@@ -11,6 +11,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ratingloom.functions.staging import spread
 from ratingloom.operators import clean
 
 
@@ -28,9 +29,9 @@ class Star:
     @cached_property
     def ratings(self) -> DataFrame:
         """``userId, movieId, rating, timestamp``; ratings 0.5 to 5.0 in half steps."""
-        lines = self.table("lineitem").select(
+        lines = spread(self.table("lineitem").select(
             "l_orderkey", "l_partkey", "l_linenumber", "l_quantity"
-        )
+        ), "l_orderkey")
         orders = self.table("orders").select("o_orderkey", "o_custkey", "o_orderdate")
         second = "cast((l_orderkey * 7919 + l_linenumber * 104729) % 86400 as int)"
         return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
@@ -70,7 +71,8 @@ class Star:
             " ' k', cast(cast(regexp_extract(props, '([0-9]+)', 1) as int) % 20 as string)) end"
         )
         return (
-            self.table("events")
+            spread(self.table("events").select("event_id", "ts", "user_id", "event_type", "props"),
+                   "event_id")
             .withColumn("t", F.date_trunc("second", F.col("ts").cast("timestamp")))
             .select(
                 F.col("user_id").alias("userId"),
