@@ -146,31 +146,75 @@ def dense_index(df: DataFrame, column: str, out: str) -> DataFrame:
     )
 
 
-def ordered_index(
-    df: DataFrame, key: str, ts: str, ties: Sequence[str], out: str = "idx", total: str = "n_rows"
+#: Keys with more rows than this are split by hour instead of sorted as a whole.
+HOT_ROWS = 1_000_000
+
+
+def running_by_key(
+    df: DataFrame, key: str, ts: str, ties: Sequence[str], totals: Mapping[str, Column],
+    ends: Mapping[str, Column] | None = None, peers: bool = False, hot_rows: int | None = None,
 ) -> DataFrame:
-    """Add the 0-based position of each row in its key's time order, and the key's row count.
+    """Add running sums per key in time order, and sums over the whole key (``ends``).
 
-    Rows are counted per (key, hour) first. The offsets are a window over those
-    counts, whose length the calendar bounds, and rows are only sorted within
-    their hour, so one key holding a large share of the table is still spread
-    over many tasks. ``ties`` makes the order total.
+    The order is ``ts`` then ``ties``; with ``peers`` rows of equal time count together and
+    ``ties`` must be empty. Keys of ordinary size take one window. Keys with more than
+    ``hot_rows`` rows are summed per (key, hour) first: the offsets are a window over those
+    sums, whose number the calendar bounds, and rows are only sorted within their hour, so
+    one key with a large share of the table is still spread over many tasks.
     """
-    rows = df.withColumn("_hour", F.date_trunc("hour", F.col(ts)))
-    per_key = Window.partitionBy(key)
-    before = per_key.orderBy("_hour").rowsBetween(Window.unboundedPreceding, -1)
+    hot_rows = HOT_ROWS if hot_rows is None else hot_rows
+    ends = ends or {}
+    first, now = Window.unboundedPreceding, Window.currentRow
+
+    def frame(*partition: str) -> Window:
+        ordered = Window.partitionBy(*partition).orderBy(ts, *ties)
+        return ordered.rangeBetween(first, now) if peers else ordered.rowsBetween(first, now)
+
+    whole_key = Window.partitionBy(key)
+
+    def plain(rows: DataFrame) -> DataFrame:
+        return rows.select(
+            *df.columns, *[F.sum(e).over(frame(key)).alias(n) for n, e in totals.items()],
+            *[F.sum(e).over(whole_key).alias(n) for n, e in ends.items()],
+        )
+
+    hot = (
+        df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows)
+        .select(key)
+    )
+    if not hot.limit(1).count():
+        return plain(df)
+    rows = df.join(hot, key, "left_semi").withColumn("_hour", F.date_trunc("hour", F.col(ts)))
+    before = whole_key.orderBy("_hour").rowsBetween(first, -1)
     offsets = (
-        rows.groupBy(key, "_hour").agg(F.count(F.lit(1)).alias("_n"))
-        .select(
-            key,
-            "_hour",
-            F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"),
-            F.sum("_n").over(per_key).alias(total),
+        rows.groupBy(key, "_hour").agg(
+            *[F.sum(e).alias(f"_s_{n}") for n, e in totals.items()],
+            *[F.sum(e).alias(f"_e_{n}") for n, e in ends.items()],
+        ).select(
+            key, "_hour",
+            *[F.coalesce(F.sum(f"_s_{n}").over(before), F.lit(0)).alias(f"_o_{n}")
+              for n in totals],
+            *[F.sum(f"_e_{n}").over(whole_key).alias(n) for n in ends],
         )
     )
-    within = Window.partitionBy(key, "_hour").orderBy(ts, *ties)
-    return (
-        rows.join(offsets, [key, "_hour"])
-        .withColumn(out, F.col("_before") + F.row_number().over(within) - 1)
-        .drop("_hour", "_before")
+    split = (
+        rows.select("*", *[F.sum(e).over(frame(key, "_hour")).alias(f"_r_{n}")
+                           for n, e in totals.items()])
+        .join(offsets, [key, "_hour"])
+        .select(*df.columns, *[(F.col(f"_r_{n}") + F.col(f"_o_{n}")).alias(n) for n in totals],
+                *ends)
     )
+    return plain(df.join(hot, key, "left_anti")).unionByName(split)
+
+
+def ordered_index(
+    df: DataFrame, key: str, ts: str, ties: Sequence[str], out: str = "idx",
+    total: str = "n_rows", hot_rows: int | None = None,
+) -> DataFrame:
+    """Add the 0-based position of each row in its key's time order, and the key's row count.
+
+    ``ties`` makes the order total.
+    """
+    one = F.lit(1)
+    return running_by_key(df, key, ts, ties, {out: one}, {total: one}, hot_rows=hot_rows
+                          ).withColumn(out, F.col(out) - 1)

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ratingloom.functions.staging import stage
 from ratingloom.functions.stats import quantiles
-from ratingloom.operators.gram import gram_pairs
+from ratingloom.operators.gram import gram_best, gram_pairs
 from ratingloom.operators.matrix import known_pairs_filter
 
 LOW, HIGH = 0.5, 5.0
@@ -143,6 +143,14 @@ def nearest(directed: DataFrame, k: int) -> DataFrame:
     return directed.withColumn("place", place).where(F.col("place") <= k)
 
 
+def nearest_neighbors(ratings: DataFrame, of: str, k: int, center: str | None = None) -> DataFrame:
+    """``entity, neighbor, sim, place``: the ``k`` most similar entities of every entity,
+    without a table of all pairs."""
+    best = gram_best(vectors(ratings, of, center), k).select(
+        F.col("a").alias("entity"), F.col("b").alias("neighbor"), F.col("dot").alias("sim"))
+    return nearest(best, k)
+
+
 def topk_neighbors(targets: DataFrame, train: DataFrame, pairs: DataFrame, of: str, k: int,
                    wide: int = WIDE) -> DataFrame:
     """``entity, context, neighbor, sim, rating, place``: for each target the ``k`` most

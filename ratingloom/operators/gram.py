@@ -33,8 +33,8 @@ def block_plan(rows: int, entries: int, parallelism: int) -> tuple[int, int]:
     return blocks, stripes
 
 
-def multiply(left: pd.DataFrame, right: pd.DataFrame, same: bool) -> pd.DataFrame:
-    """``a, b, dot, n_common`` for the pairs of rows of two cells that share a feature."""
+def product(left: pd.DataFrame, right: pd.DataFrame) -> tuple:
+    """Row ids of both cells, and the inner products and common counts of all their pairs."""
     a_ids, a = np.unique(left["r"].to_numpy(), return_inverse=True)
     b_ids, b = np.unique(right["r"].to_numpy(), return_inverse=True)
     order = np.argsort(right["f"].to_numpy(), kind="stable")
@@ -58,19 +58,43 @@ def multiply(left: pd.DataFrame, right: pd.DataFrame, same: bool) -> pd.DataFram
         np.add.at(dot, cell, a_values[which] * b_values[other])
         np.add.at(common, cell, 1)
         start = stop
-    hit = np.flatnonzero(common)
-    x, y = a_ids[hit // len(b_ids)], b_ids[hit % len(b_ids)]
-    out = pd.DataFrame({
-        "a": np.minimum(x, y), "b": np.maximum(x, y), "dot": dot[hit], "n_common": common[hit],
-    })
+    shape = (len(a_ids), len(b_ids))
+    return a_ids, b_ids, dot.reshape(shape), common.reshape(shape)
+
+
+def all_pairs(left: pd.DataFrame, right: pd.DataFrame, same: bool) -> pd.DataFrame:
+    """``a, b, dot, n_common`` for the pairs that share a feature."""
+    a_ids, b_ids, dot, common = product(left, right)
+    i, j = np.nonzero(common)
+    x, y = a_ids[i], b_ids[j]
+    out = pd.DataFrame({"a": np.minimum(x, y), "b": np.maximum(x, y), "dot": dot[i, j],
+                        "n_common": common[i, j]})
     return out[x < y] if same else out
 
 
-def gram_pairs(entries: DataFrame, parallelism: int | None = None,
-               blocks: int | None = None, stripes: int | None = None) -> DataFrame:
-    """``a, b, dot, n_common`` with ``a < b`` for all rows of ``entries(r, f, v)`` that share
-    a feature; ``(r, f)`` must be unique and both long.
-    """
+def best_pairs(left: pd.DataFrame, right: pd.DataFrame, same: bool, k: int) -> pd.DataFrame:
+    """``a, b, dot, n_common`` in both directions: per row those that can be among its ``k``
+    best in this cell, ties kept."""
+    a_ids, b_ids, dot, common = product(left, right)
+    if same:
+        common[np.arange(len(a_ids)), np.arange(len(a_ids))] = 0
+    parts = []
+    for ids, others, d, c in ((a_ids, b_ids, dot, common), (b_ids, a_ids, dot.T, common.T)):
+        score = np.where(c > 0, np.round(d, 9), -np.inf)
+        keep = c > 0
+        if k < score.shape[1]:
+            keep &= score >= -np.partition(-score, k - 1, axis=1)[:, k - 1:k]
+        i, j = np.nonzero(keep)
+        parts.append(pd.DataFrame({"a": ids[i], "b": others[j], "dot": d[i, j],
+                                   "n_common": c[i, j]}))
+        if same:
+            break
+    return pd.concat(parts)
+
+
+def copies_by_cell(entries: DataFrame, parallelism: int | None, blocks: int | None,
+                   stripes: int | None) -> tuple[DataFrame, int]:
+    """Entries sent to every block pair of their row block, and the number of stripes."""
     if blocks is None or stripes is None:
         size = entries.agg(F.count_distinct("r").alias("rows"), F.count("r").alias("n")).first()
         parallelism = parallelism or entries.sparkSession.sparkContext.defaultParallelism
@@ -81,16 +105,23 @@ def gram_pairs(entries: DataFrame, parallelism: int | None = None,
         F.pmod(F.xxhash64("f", F.lit(1)), F.lit(stripes)).cast("int").alias("stripe"),
     )
     other = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
-    copies = placed.withColumn("other", other).select(
+    return placed.withColumn("other", other).select(
         F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
-        "stripe", "block", "r", "f", "v")
+        "stripe", "block", "r", "f", "v"), stripes
+
+
+def gram_pairs(entries: DataFrame, parallelism: int | None = None,
+               blocks: int | None = None, stripes: int | None = None) -> DataFrame:
+    """``a, b, dot, n_common`` with ``a < b`` for all rows of ``entries(r, f, v)`` that share
+    a feature; ``(r, f)`` must be unique and both long.
+    """
+    copies, stripes = copies_by_cell(entries, parallelism, blocks, stripes)
 
     def cell(key, rows: pd.DataFrame) -> pd.DataFrame:
-        i, j = key[0], key[1]
-        if i == j:
-            return multiply(rows, rows, True)
-        mine = (rows["block"] == i).to_numpy()
-        return multiply(rows[mine], rows[~mine], False)
+        if key[0] == key[1]:
+            return all_pairs(rows, rows, True)
+        mine = (rows["block"] == key[0]).to_numpy()
+        return all_pairs(rows[mine], rows[~mine], False)
 
     partial = copies.groupBy("i", "j", "stripe").applyInPandas(
         cell, "a long, b long, dot double, n_common long")
@@ -98,3 +129,29 @@ def gram_pairs(entries: DataFrame, parallelism: int | None = None,
         return partial
     return partial.groupBy("a", "b").agg(
         F.sum("dot").alias("dot"), F.sum("n_common").alias("n_common"))
+
+
+def gram_best(entries: DataFrame, k: int, parallelism: int | None = None,
+              blocks: int | None = None, stripes: int | None = None) -> DataFrame:
+    """``a, b, dot, n_common`` in both directions with at least the ``k`` largest products of
+    every ``a``.
+
+    With one stripe a cell's products are final, so it hands on only what can be among a
+    row's best: about ``k`` per row and block instead of every pair.
+    """
+    copies, stripes = copies_by_cell(entries, parallelism, blocks, stripes)
+    if stripes > 1:
+        pairs = gram_pairs(entries, parallelism, blocks, stripes)
+        return pairs.select("dot", "n_common", F.inline(F.array(
+            F.struct(F.col("a"), F.col("b")),
+            F.struct(F.col("b").alias("a"), F.col("a").alias("b")),
+        ))).select("a", "b", "dot", "n_common")
+
+    def cell(key, rows: pd.DataFrame) -> pd.DataFrame:
+        if key[0] == key[1]:
+            return best_pairs(rows, rows, True, k)
+        mine = (rows["block"] == key[0]).to_numpy()
+        return best_pairs(rows[mine], rows[~mine], False, k)
+
+    return copies.groupBy("i", "j").applyInPandas(
+        cell, "a long, b long, dot double, n_common long")

@@ -1,7 +1,7 @@
 """Features of the order and timing of ratings.
 
-Everything is computed from counts and sums per calendar bucket or from positions
-found by ``ordered_index``; no user's or item's history is ever sorted as a whole.
+Everything is computed from counts and sums per calendar bucket, or from the running
+sums and positions of ``functions.stats``, which split very long histories.
 """
 
 from __future__ import annotations
@@ -9,12 +9,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ratingloom.functions.stats import ordered_index
+from ratingloom.functions.stats import ordered_index, running_by_key
 from ratingloom.functions.times import days_between, whole_days
 
 TIES_USER = ("movieId", "rating")
 TIES_ITEM = ("userId", "rating")
-DAY_MICROS = 86_400_000_000
 
 
 def rating_trend(ratings: DataFrame, min_rows: int = 10) -> DataFrame:
@@ -96,51 +95,34 @@ def rating_momentum(ratings: DataFrame, min_rows: int = 10) -> DataFrame:
     ).fillna(0.0, subset=["rating_momentum"])
 
 
-def rating_volatility(ratings: DataFrame, days: int = 30) -> DataFrame:
+def rating_volatility(ratings: DataFrame, days: int = 30, hot_rows: int | None = None
+                      ) -> DataFrame:
     """Per item the mean over its ratings of the deviation in the trailing window (t - days, t].
 
-    Sums per distinct time replace the rows. The window is split at day boundaries: the
-    whole days inside it come from a window over daily sums, and its two partial days
-    from a window within (item, day), so no task holds more than two days of an item.
+    Sums per distinct time replace the rows. Each enters at its time and leaves ``days``
+    later with the opposite sign, so a running sum over both holds exactly the window, and
+    no frame is ever scanned again.
     """
     instants = ratings.groupBy("movieId", "timestamp").agg(
         F.count(F.lit(1)).alias("n"), F.sum("rating").alias("s"),
         F.sum(F.col("rating") * F.col("rating")).alias("q"),
     )
-    micros = F.unix_micros("timestamp")
-    instants = instants.withColumns({
-        "day": F.floor(micros / DAY_MICROS), "tod": F.pmod(micros, F.lit(DAY_MICROS)),
-    })
-    whole = Window.partitionBy("movieId").orderBy("day").rangeBetween(-(days - 1), -1)
-    daily = (
-        instants.groupBy("movieId", "day").agg(*[F.sum(c).alias(c) for c in "nsq"])
-        .select("movieId", "day",
-                *[F.coalesce(F.sum(c).over(whole), F.lit(0)).alias(f"mid_{c}") for c in "nsq"])
-    )
-    heads = instants.select("movieId", "day", "tod", "n", "s", "q", F.lit(True).alias("head"))
-    tails = instants.select("movieId", (F.col("day") + days).alias("day"), "tod", "n", "s", "q",
-                            F.lit(False).alias("head"))
-    inside = Window.partitionBy("movieId", "day").orderBy("tod")
-    upto = inside.rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    after = inside.rangeBetween(1, Window.unboundedFollowing)
-
-    def part(c: str, frame, head: bool) -> Column:
-        mine = F.col("head") if head else ~F.col("head")
-        return F.coalesce(F.sum(F.when(mine, F.col(c))).over(frame), F.lit(0))
-
-    edges = heads.unionByName(tails).select(
-        "movieId", "day", "head", F.col("n").alias("rows"),
-        *[(part(c, upto, True) + part(c, after, False)).alias(f"edge_{c}") for c in "nsq"],
-    ).where("head")
-    joined = edges.join(daily, ["movieId", "day"])
-    n, s, q = (F.col(f"edge_{c}") + F.col(f"mid_{c}") for c in "nsq")
-    joined = joined.select("movieId", "rows", n.alias("n"), s.alias("s"), q.alias("q"))
-    variance = (F.col("q") - F.col("s") * F.col("s") / F.col("n")) / (F.col("n") - 1)
-    std = F.when(F.col("n") > 1, F.sqrt(F.greatest(variance, F.lit(0.0))))
-    return joined.groupBy("movieId").agg(
+    moves = instants.select("movieId", F.inline(F.array(
+        F.struct(F.col("timestamp").alias("t"), F.col("n").alias("rows"), F.col("n"),
+                 F.col("s"), F.col("q")),
+        F.struct((F.col("timestamp") + F.expr(f"interval {days} days")).alias("t"),
+                 F.lit(0).cast("long").alias("rows"), (-F.col("n")).alias("n"),
+                 (-F.col("s")).alias("s"), (-F.col("q")).alias("q")),
+    )))
+    inside = running_by_key(
+        moves, "movieId", "t", (), {f"in_{c}": F.col(c) for c in "nsq"}, peers=True,
+        hot_rows=hot_rows,
+    ).where("rows > 0")
+    n, s, q = (F.col(f"in_{c}") for c in "nsq")
+    std = F.when(n > 1, F.sqrt(F.greatest(q - s * s / n, F.lit(0.0)) / (n - 1)))
+    return inside.groupBy("movieId").agg(
         F.coalesce(
-            F.try_divide(F.sum(std * F.col("rows")),
-                         F.sum(F.when(F.col("n") > 1, F.col("rows")))),
+            F.try_divide(F.sum(std * F.col("rows")), F.sum(F.when(n > 1, F.col("rows")))),
             F.lit(0.0),
         ).alias("rating_volatility")
     )

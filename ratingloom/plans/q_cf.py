@@ -151,8 +151,7 @@ SELECT entity, neighbor, sim, CAST(row_number() OVER (PARTITION BY entity
 FROM directed QUALIFY place <= 20
 """, "sim")
 def topk_neighbors(star):
-    pairs = cf.both_ways(cf.similarity(rated(star), "user"))
-    return cf.nearest(pairs, 20).drop("n_common")
+    return cf.nearest_neighbors(rated(star), "user", 20)
 
 
 SPLIT = """
