@@ -207,7 +207,8 @@ def topk_neighbors(targets: DataFrame, train: DataFrame, pairs: DataFrame, of: s
 
 
 def clip(c: Column) -> Column:
-    return F.least(F.greatest(c, F.lit(LOW)), F.lit(HIGH))
+    """Into the rating scale; null stays null, which least and greatest alone would skip."""
+    return F.when(c.isNotNull(), F.least(F.greatest(c, F.lit(LOW)), F.lit(HIGH)))
 
 
 def _combine(neighbors: DataFrame, value: Column, ks: Sequence[int]) -> DataFrame:

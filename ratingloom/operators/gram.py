@@ -10,6 +10,7 @@ spread over all block pairs and never leave a task one by one.
 from __future__ import annotations
 
 import math
+from typing import Any
 
 import numpy as np
 import pandas as pd
@@ -117,7 +118,7 @@ def gram_pairs(entries: DataFrame, parallelism: int | None = None,
     """
     copies, stripes = copies_by_cell(entries, parallelism, blocks, stripes)
 
-    def cell(key, rows: pd.DataFrame) -> pd.DataFrame:
+    def cell(key: tuple[Any, ...], rows: pd.DataFrame) -> pd.DataFrame:
         if key[0] == key[1]:
             return all_pairs(rows, rows, True)
         mine = (rows["block"] == key[0]).to_numpy()
@@ -147,7 +148,7 @@ def gram_best(entries: DataFrame, k: int, parallelism: int | None = None,
             F.struct(F.col("b").alias("a"), F.col("a").alias("b")),
         ))).select("a", "b", "dot", "n_common")
 
-    def cell(key, rows: pd.DataFrame) -> pd.DataFrame:
+    def cell(key: tuple[Any, ...], rows: pd.DataFrame) -> pd.DataFrame:
         if key[0] == key[1]:
             return best_pairs(rows, rows, True, k)
         mine = (rows["block"] == key[0]).to_numpy()

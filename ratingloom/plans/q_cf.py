@@ -177,7 +177,8 @@ def user_predictions(pairs, k, out):
   JOIN {out}_d d ON d.u = t."userId" AND d.v = r."userId" JOIN {out}_m m ON m."userId" = v),
 {out} AS (
   SELECT t."userId", t."movieId", t.rating,
-         coalesce(least(greatest(m.mean + s.shift, 0.5), 5.0), m.mean) AS prediction
+         CASE WHEN s.shift IS NULL THEN m.mean
+              ELSE least(greatest(m.mean + s.shift, 0.5), 5.0) END AS prediction
   FROM known t JOIN {out}_m m USING ("userId") LEFT JOIN (
     SELECT "userId", "movieId", sum(sim * dev) / sum(sim) AS shift FROM {out}_top
     WHERE place <= {k} GROUP BY 1, 2) AS s USING ("userId", "movieId"))"""
@@ -199,7 +200,8 @@ def item_predictions(pairs, k, out):
   JOIN {out}_u u ON u."userId" = t."userId" JOIN {out}_i i ON i."movieId" = j, {out}_mu),
 {out} AS (
   SELECT t."userId", t."movieId", t.rating,
-         coalesce(least(greatest(mu + bu + bi + s.shift, 0.5), 5.0), mu + bu + bi) AS prediction
+         CASE WHEN s.shift IS NULL THEN mu + bu + bi
+              ELSE least(greatest(mu + bu + bi + s.shift, 0.5), 5.0) END AS prediction
   FROM known t JOIN {out}_u USING ("userId") JOIN {out}_i USING ("movieId") LEFT JOIN (
     SELECT "userId", "movieId", sum(sim * dev) / sum(sim) AS shift FROM {out}_top
     WHERE place <= {k} GROUP BY 1, 2) AS s USING ("userId", "movieId"), {out}_mu)"""
