@@ -100,7 +100,8 @@ def kmeans_cold_start(user_features: DataFrame, movie_features: DataFrame, fast:
     """Clusters of users by activity and of items by content flags.
 
     The number of clusters grows with the rows: n/100 up to 20 and 50; the fast variant
-    takes n/500 and n/200, ten iterations, and scores on the leading singular vectors.
+    takes n/500 and n/200 and ten iterations. (Rotating its four scaled features onto all
+    four singular vectors would not change a distance, so that step is left out.)
     """
     n_users, n_items = user_features.count(), movie_features.count()
     if fast:

@@ -23,12 +23,19 @@ BLOCK_ROWS = 2048
 CELL_ENTRIES = 2_000_000
 #: Products expanded at once inside a task.
 EXPAND = 2_000_000
+#: Most tasks one product is spread over.
+MAX_TASKS = 20_000
 
 
-def block_plan(rows: int, entries: int, parallelism: int) -> tuple[int, int]:
-    """Number of row blocks and feature stripes for a matrix of this size."""
+def block_plan(rows: int, entries: int, longest: int, parallelism: int) -> tuple[int, int]:
+    """Number of row blocks and feature stripes for a matrix of this size.
+
+    Stripes are counted for the block that holds the longest row: a row with a large share
+    of all entries is cut into as many pieces as it takes.
+    """
     blocks = max(1, math.ceil(rows / BLOCK_ROWS))
-    stripes = max(1, math.ceil(entries / blocks / CELL_ENTRIES))
+    heaviest = longest + entries / blocks
+    stripes = max(1, math.ceil(heaviest / CELL_ENTRIES))
     while blocks * (blocks + 1) // 2 * stripes < parallelism and blocks < 64:
         blocks += 1
     return blocks, stripes
@@ -97,18 +104,23 @@ def copies_by_cell(entries: DataFrame, parallelism: int | None, blocks: int | No
                    stripes: int | None) -> tuple[DataFrame, int]:
     """Entries sent to every block pair of their row block, and the number of stripes."""
     if blocks is None or stripes is None:
-        size = entries.agg(F.count_distinct("r").alias("rows"), F.count("r").alias("n")).first()
+        size = entries.groupBy("r").agg(F.count(F.lit(1)).alias("n")).agg(
+            F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum("n"), F.lit(0)).alias("n"),
+            F.coalesce(F.max("n"), F.lit(0)).alias("longest")).first()
         parallelism = parallelism or entries.sparkSession.sparkContext.defaultParallelism
-        blocks, stripes = block_plan(size["rows"], size["n"], parallelism)
+        blocks, stripes = block_plan(size["rows"], size["n"], size["longest"], parallelism)
     placed = entries.select(
         "r", "f", F.col("v").cast("double").alias("v"),
         F.pmod(F.xxhash64("r"), F.lit(blocks)).cast("int").alias("block"),
         F.pmod(F.xxhash64("f", F.lit(1)), F.lit(stripes)).cast("int").alias("stripe"),
     )
     other = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
-    return placed.withColumn("other", other).select(
+    copies = placed.withColumn("other", other).select(
         F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
-        "stripe", "block", "r", "f", "v"), stripes
+        "stripe", "block", "r", "f", "v")
+    # the work of a cell is in its products, not in its bytes: keep cells apart
+    cells = blocks * (blocks + 1) // 2 * stripes
+    return copies.repartition(min(cells, MAX_TASKS), "i", "j", "stripe"), stripes
 
 
 def gram_pairs(entries: DataFrame, parallelism: int | None = None,
@@ -154,5 +166,5 @@ def gram_best(entries: DataFrame, k: int, parallelism: int | None = None,
         mine = (rows["block"] == key[0]).to_numpy()
         return best_pairs(rows[mine], rows[~mine], False, k)
 
-    return copies.groupBy("i", "j").applyInPandas(
+    return copies.groupBy("i", "j", "stripe").applyInPandas(
         cell, "a long, b long, dot double, n_common long")

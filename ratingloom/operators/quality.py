@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from itertools import combinations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -73,16 +75,50 @@ def safe_corr(a: str, b: str) -> Column:
     return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
 
 
+def correlations(df: DataFrame, columns: Sequence[str]) -> np.ndarray:
+    """Correlation matrix over the rows where both columns are present; NaN where undefined.
+
+    Each Arrow batch is reduced to d x d sums with numpy and Spark adds them up, so the
+    number of pairs costs neither passes nor a plan that grows with it.
+    """
+    columns = list(columns)
+    d = len(columns)
+    row = df.agg(*[F.avg(c).alias(f"m{i}") for i, c in enumerate(columns)]).first()
+    means = np.array([row[i] or 0.0 for i in range(d)])
+
+    def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sums = np.zeros((4, d, d))
+        for batch in batches:
+            x = batch.to_numpy(dtype=float, na_value=np.nan) - means
+            there = ~np.isnan(x)
+            x, there = np.where(there, x, 0.0), there.astype(float)
+            sums += np.stack([there.T @ there, x.T @ there, (x * x).T @ there, x.T @ x])
+        yield pd.DataFrame({"m": [sums.ravel()]})
+
+    rows = (
+        df.select(*[F.col(f"`{c}`").cast("double").alias(f"c{i}") for i, c in enumerate(columns)])
+        .mapInPandas(partial, "m array<double>")
+        .select(F.posexplode("m").alias("pos", "v")).groupBy("pos").agg(F.sum("v").alias("v"))
+        .collect()
+    )
+    flat = np.zeros(4 * d * d)
+    for r in rows:
+        flat[r["pos"]] = r["v"]
+    n, s, q, p = flat.reshape(4, d, d)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        spread = q / n - (s / n) ** 2
+        # rounding of the mean leaves a constant column this much spread at most
+        spread = np.where(spread > 1e-18 * (means ** 2)[:, None], spread, np.nan)
+        return (p / n - (s / n) * (s.T / n)) / np.sqrt(spread * spread.T)
+
+
 def high_correlations(df: DataFrame, columns: Sequence[str]) -> set[tuple[str, str]]:
     """Column pairs, in column order, whose absolute correlation exceeds 0.95."""
-    pairs = list(combinations(columns, 2))
-    if not pairs:
+    if len(columns) < 2:
         return set()
-    row = df.agg(*[safe_corr(a, b).alias(f"c{i}") for i, (a, b) in enumerate(pairs)]).first()
-    return {
-        p for i, p in enumerate(pairs)
-        if row[f"c{i}"] is not None and abs(row[f"c{i}"]) > CORRELATED
-    }
+    matrix = np.abs(correlations(df, columns))
+    return {(a, b) for (i, a), (j, b) in combinations(enumerate(columns), 2)
+            if matrix[i, j] > CORRELATED}
 
 
 def validate_features(df: DataFrame, key: str | None = None) -> DataFrame:

@@ -11,7 +11,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratingloom.functions.staging import spread
+from ratingloom.functions.staging import ship_package, spread
 from ratingloom.operators import clean
 
 
@@ -20,6 +20,7 @@ class Star:
 
     def __init__(self, spark: SparkSession, path: str):
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+        ship_package(spark)
         self.spark = spark
         self.path = path
 
