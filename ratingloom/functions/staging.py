@@ -7,27 +7,12 @@ facts are scanned a single time and a lost executor costs nothing.
 
 from __future__ import annotations
 
-import os
-import shutil
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_DIRS: dict[str, str] = {}
-_SHIPPED: set[str] = set()
-
-
-def ship_package(spark: SparkSession) -> None:
-    """Send this package to the Python workers once, as ``--py-files`` would."""
-    app = spark.sparkContext.applicationId
-    if app in _SHIPPED:
-        return
-    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    target = os.path.join(tempfile.mkdtemp(prefix="ratingloom-"), "ratingloom")
-    spark.sparkContext.addPyFile(shutil.make_archive(
-        target, "zip", os.path.dirname(package), os.path.basename(package)))
-    _SHIPPED.add(app)
 
 
 def shared_dir(spark: SparkSession) -> str:
