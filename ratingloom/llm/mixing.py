@@ -82,8 +82,8 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rank = F.when(F.col("part") > 0, odds("u") / odds("part"))
     ranked = (rows.join(shares, same, "left").drop(shares["source"])
               .withColumn("rank", rank)
-              .withColumn("band", F.least(F.floor(F.col("rank") / (1 + F.col("rank")) * BANDS),
-                                          F.lit(BANDS - 1)).cast("int")))
+              .withColumn("band", F.when(F.col("rank").isNotNull(), F.least(
+                  F.floor(F.col("rank") / (1 + F.col("rank")) * BANDS), F.lit(BANDS - 1))).cast("int")))
     # Words up to each band: at most BANDS rows per source.
     bands = ranked.filter("size > 0 AND rank IS NOT NULL").groupBy("source", "band").agg(
         F.sum("size").alias("words"), F.first("budget").alias("budget"))

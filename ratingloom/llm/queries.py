@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ratingloom.llm import (
-    decontaminate, langid, mixing, sharding, simhash, tokens, urls,
+    decontaminate, langid, mixing, quality, sharding, simhash, tokens, urls,
 )
 
 SHARDS = 40
@@ -27,6 +27,10 @@ def op1_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"))
 
 
+def op2_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.judge(table(spark, folder, "documents"))
+
+
 def op3_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(table(spark, folder, "documents"))
 
@@ -70,7 +74,7 @@ def op10_urls(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_simhash, op3_mix, op6_language, op7_decontaminate, op8_slots, op9_tokens, op10_urls)
+        op1_simhash, op2_quality, op3_mix, op6_language, op7_decontaminate, op8_slots, op9_tokens, op10_urls)
 }
 
 ORACLES: dict[str, str] = {
