@@ -252,6 +252,42 @@ def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang",
     return Model(languages, np.log(grams / grams.sum(axis=0)).astype(np.float32), used & (scripts > 0), prior)
 
 
+def judged(texts: list[str | None], model: Model, penalty: float
+           ) -> Iterator[tuple[str, float, list[dict]]]:
+    """(language, score, spans) of each text."""
+    found = [WORD.findall(t) if t and model.languages else [] for t in texts]
+    scored = model.scores(found)
+    all_one = [settled(s, penalty) if len(s) else -1 for _, s in scored]
+    paths = iter(viterbi_all([s for (_, s), one in zip(scored, all_one) if len(s) and one < 0],
+                             penalty))
+    for text, words, (place, score), one in zip(texts, found, scored, all_one):
+        if not len(place):
+            yield "und", 0.0, []
+        elif one >= 0:
+            lang = model.languages[one]
+            if len(place) == len(words):
+                first, last = text.index(words[0]), text.rindex(words[-1]) + len(words[-1])
+            else:
+                ends = [m.span() for m in WORD.finditer(text)]
+                first, last = ends[place[0]][0], ends[place[-1]][1]
+            yield lang, 1.0, [{"first": first, "last": last - 1, "lang": lang}]
+        else:
+            path = next(paths)
+            ends = np.array([m.span() for m in WORD.finditer(text)])[place]
+            letters = np.bincount(path, ends[:, 1] - ends[:, 0], len(model.languages))
+            best = int(letters.argmax())
+            cut = np.flatnonzero(np.diff(path)) + 1
+            spans = [{"first": int(ends[i, 0]), "last": int(ends[j - 1, 1]) - 1,
+                      "lang": model.languages[path[i]]}
+                     for i, j in zip([0, *cut.tolist()], [*cut.tolist(), len(path)])]
+            yield model.languages[best], float(letters[best] / letters.sum()), spans
+
+def shipped(docs: DataFrame, model: Model):
+    """The model's tables (at most buckets x languages numbers) as a broadcast."""
+    return docs.sparkSession.sparkContext.broadcast(
+        (model.languages, model.logp, model.scripts, model.prior))
+
+
 def label(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text",
           penalty: float = 12.0) -> DataFrame:
     """``(id_col, lang_pred, score, spans)`` for every row of ``docs``.
@@ -263,37 +299,7 @@ def label(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     """
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     kind = source.schema["id"].dataType.simpleString()
-    shared = docs.sparkSession.sparkContext.broadcast(
-        (model.languages, model.logp, model.scripts, model.prior))
-
-    def judge(texts: list[str | None], model: Model):
-        found = [WORD.findall(t) if t and model.languages else [] for t in texts]
-        scored = model.scores(found)
-        all_one = [settled(s, penalty) if len(s) else -1 for _, s in scored]
-        paths = iter(viterbi_all([s for (_, s), one in zip(scored, all_one) if len(s) and one < 0],
-                                 penalty))
-        for text, words, (place, score), one in zip(texts, found, scored, all_one):
-            if not len(place):
-                yield "und", 0.0, []
-            elif one >= 0:
-                lang = model.languages[one]
-                if len(place) == len(words):
-                    first, last = text.index(words[0]), text.rindex(words[-1]) + len(words[-1])
-                else:
-                    ends = [m.span() for m in WORD.finditer(text)]
-                    first, last = ends[place[0]][0], ends[place[-1]][1]
-                yield lang, 1.0, [{"first": first, "last": last - 1, "lang": lang}]
-            else:
-                path = next(paths)
-                ends = np.array([m.span() for m in WORD.finditer(text)])[place]
-                letters = np.bincount(path, ends[:, 1] - ends[:, 0], len(model.languages))
-                best = int(letters.argmax())
-                cut = np.flatnonzero(np.diff(path)) + 1
-                spans = [{"first": int(ends[i, 0]), "last": int(ends[j - 1, 1]) - 1,
-                          "lang": model.languages[path[i]]}
-                         for i, j in zip([0, *cut.tolist()], [*cut.tolist(), len(path)])]
-                yield model.languages[best], float(letters[best] / letters.sum()), spans
-
+    shared = shipped(docs, model)
     spans = pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32()), ("lang", pa.string())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -301,7 +307,7 @@ def label(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
         for batch in batches:
             for begin in range(0, batch.num_rows, TOGETHER):
                 part = batch.slice(begin, TOGETHER)
-                rows = list(judge(part.column(1).to_pylist(), own))
+                rows = list(judged(part.column(1).to_pylist(), own, penalty))
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array([r[0] for r in rows], pa.string()),
                      pa.array([r[1] for r in rows], pa.float64()),
@@ -313,6 +319,26 @@ def label(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
         " spans array<struct<first:int,last:int,lang:string>>").withColumnRenamed("id", id_col)
 
 
+def accepted(docs: DataFrame, model: Model, least_share: float, text_col: str = "text",
+             penalty: float = 12.0) -> DataFrame:
+    """The rows of ``docs``, all columns, whose text has a language with ``least_share`` of its
+    letters or more; texts that are ``und`` go. Rows pass through one scan, without a join."""
+    shared = shipped(docs, model)
+    at = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = Model(*shared.value)
+        for batch in batches:
+            for begin in range(0, batch.num_rows, TOGETHER):
+                part = batch.slice(begin, TOGETHER)
+                texts = part.column(at).to_pylist()
+                yield part.filter(pa.array(
+                    [lang != "und" and score >= least_share
+                     for lang, score, _ in judged(texts, own, penalty)], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def held_out(key: Column) -> Column:
     """Rows kept from training: CRC32 of the key as text leaves 1 modulo 3."""
     return F.coalesce(F.crc32(key.cast("string").cast("binary")) % 3 == 1, F.lit(False))

@@ -55,18 +55,20 @@ def targets(sizes: DataFrame, most: float, share: float = 1.0, weights: int = 3)
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-        source_col: str = "source", most: float = 3.0, seed: str = "mix") -> DataFrame:
+        source_col: str = "source", most: float = 3.0, seed: str = "mix",
+        random_col: str | None = None) -> DataFrame:
     """``id_col, size, source_size, target, copies, taken`` for every row of ``docs``.
 
     ``size`` counts the words, ``copies`` how often the mix takes the row and ``taken`` the words
     it takes. Every row has the whole part of target / source_size for certain; the rest of the
     target goes to rows in Pareto order, as long as each brings the source's words closer to it.
-    Random numbers come from id and seed (from the text where the id is null), so reruns agree;
+    Random numbers come from ``random_col`` (the id by default) and seed, and from the text where
+    that is null, so reruns agree;
     rows of equal id follow each other by size and text. Rows without words take nothing. A null
     source is a source. An empty table gives an empty result.
     """
     text = F.col(text_col).cast("string")
-    key = F.concat_ws("/", F.lit(seed), F.coalesce(F.col(id_col).cast("string"), F.concat(F.lit("?"), text), F.lit("")))
+    key = F.concat_ws("/", F.lit(seed), F.coalesce(F.col(random_col or id_col).cast("string"), F.concat(F.lit("?"), text), F.lit("")))
     rows = stage(docs.select(
         F.col(id_col).alias("id"), F.col(source_col).alias("source"), n_words(text).alias("size"),
         chance(key).alias("u"), F.coalesce(F.crc32(text.cast("binary")), F.lit(-1)).alias("tie")))

@@ -207,7 +207,7 @@ def references(counted: DataFrame, common: float, least_share: float
 def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
           common: float = 0.002, least_share: float = 0.001, least_chars: int = 200,
           least_words: int = 50, class_limit: float = 0.14, class_noise: float = 1.3,
-          word_limit: float = 0.22, word_noise: float = 1.05) -> DataFrame:
+          word_limit: float = 0.21, word_noise: float = 1.25) -> DataFrame:
     """Per row: ``id_col``, the plain counts, ``base_failed``, ``class_distance``,
     ``word_distance`` and ``kept``.
 

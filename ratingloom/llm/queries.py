@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ratingloom.llm import (
-    decontaminate, langid, mixing, quality, sharding, simhash, tokens, urls,
+    decontaminate, html, langid, mixing, quality, sharding, simhash, tokens, urls, windows,
 )
 
 SHARDS = 40
@@ -35,6 +35,14 @@ def op3_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(table(spark, folder, "documents"))
 
 
+def op4_html(spark: SparkSession, folder: str) -> DataFrame:
+    return html.extract(table(spark, folder, "pages"))
+
+
+def op5_passages(spark: SparkSession, folder: str) -> DataFrame:
+    return windows.repeated_passages(table(spark, folder, "documents"))
+
+
 def op6_language(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     model = langid.train(docs.filter(~langid.held_out(F.col("doc_id"))))
@@ -74,7 +82,7 @@ def op10_urls(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_simhash, op2_quality, op3_mix, op6_language, op7_decontaminate, op8_slots, op9_tokens, op10_urls)
+        op1_simhash, op2_quality, op3_mix, op4_html, op5_passages, op6_language, op7_decontaminate, op8_slots, op9_tokens, op10_urls)
 }
 
 ORACLES: dict[str, str] = {
