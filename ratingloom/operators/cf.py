@@ -21,7 +21,6 @@ from ratingloom.operators.matrix import known_pairs_filter
 LOW, HIGH = 0.5, 5.0
 #: Contexts with at most this many entries are joined directly; see ``topk_neighbors``.
 WIDE = 1000
-MAX_REQUESTS = 10_000
 
 KEYS = {"user": ("userId", "movieId"), "item": ("movieId", "userId")}
 
@@ -279,26 +278,16 @@ def _with_unknown(targets: DataFrame, predicted: DataFrame, ks: Sequence[int]) -
 
 # --- recommendation -----------------------------------------------------------------------------
 
-def request_list(requests: DataFrame) -> list[int]:
-    """The requested users; a recommendation run serves a list, not the whole table."""
-    ids = [r["userId"] for r in requests.select("userId").distinct().limit(MAX_REQUESTS + 1)
-           .collect()]
-    if len(ids) > MAX_REQUESTS:
-        raise ValueError(f"more than {MAX_REQUESTS} requested users; ask in several runs")
-    return sorted(ids)
-
-
 def candidate_items(requests: DataFrame, ratings: DataFrame) -> DataFrame:
-    """``userId, movieId``: every rated item each requested user has not rated."""
-    ids = request_list(requests)
+    """``userId, movieId``: every rated item each requested user has not rated.
+
+    The product of the request table and the items is what is asked for; ask for a list of
+    users, not for all.
+    """
+    wanted = requests.select("userId").distinct()
     items = ratings.select("movieId").distinct()
-    if not ids:
-        return ratings.select("userId", "movieId").limit(0)
-    users = F.array(*[F.lit(i).cast("long") for i in ids])
-    return (
-        items.select(F.explode(users).alias("userId"), "movieId")
-        .join(ratings.select("userId", "movieId"), ["userId", "movieId"], "left_anti")
-    )
+    return wanted.crossJoin(items).join(
+        ratings.select("userId", "movieId"), ["userId", "movieId"], "left_anti")
 
 
 def best_first(predicted: DataFrame, n: int) -> DataFrame:

@@ -72,11 +72,20 @@ def clean_tags(tags: DataFrame) -> DataFrame:
     )
 
 
+def nan_to_null(df: DataFrame) -> DataFrame:
+    """NaN is a missing value: null from here on, in float and double columns."""
+    return df.withColumns({
+        f.name: F.when(~F.isnan(F.col(f"`{f.name}`")), F.col(f"`{f.name}`"))
+        for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))
+    })
+
+
 def handle_missing(df: DataFrame, drop_above: float = 0.5) -> DataFrame:
     """Drop columns with too many nulls; fill numbers with the median, others with the mode.
 
     One aggregate finds the columns with nulls; only those pay for a median or a mode.
     """
+    df = nan_to_null(df)
     missing = [F.sum(F.col(f"`{c}`").isNull().cast("long")).alias(c) for c in df.columns]
     row = df.agg(F.count(F.lit(1)).alias("__rows"), *missing).first()
     total = row["__rows"]
@@ -140,7 +149,8 @@ def iqr_bounds(df: DataFrame, columns: Sequence[str], k: float = 1.5) -> dict:
 
 
 def cap_outliers_iqr(df: DataFrame, columns: Sequence[str], k: float = 1.5) -> DataFrame:
-    """Clip each column to ``[Q1 - k*IQR, Q3 + k*IQR]``."""
+    """Clip each column to ``[Q1 - k*IQR, Q3 + k*IQR]``; NaN becomes null."""
+    df = nan_to_null(df)
     bounds = iqr_bounds(df, columns, k)
     return df.withColumns({
         c: F.when(F.col(c).isNotNull(),
@@ -151,6 +161,7 @@ def cap_outliers_iqr(df: DataFrame, columns: Sequence[str], k: float = 1.5) -> D
 
 def outlier_report(df: DataFrame, columns: Sequence[str], k: float = 1.5) -> DataFrame:
     """Per column the number of values outside the IQR bounds, and the bounds."""
+    df = nan_to_null(df)
     bounds = iqr_bounds(df, columns, k)
     counts = df.agg(*[
         F.sum((~F.col(c).between(lo, hi)).cast("long")).alias(c)
@@ -283,5 +294,5 @@ def union_chunks(parts: Sequence[DataFrame], subset: Sequence[str] | None = None
 
 def sample_n(df: DataFrame, n: int, key: str, ties: Sequence[str] = ()) -> DataFrame:
     """``n`` rows without replacement: the smallest arithmetic hashes of ``key``."""
-    h = F.pmod(F.col(key) * F.lit(2654435761), F.lit(4294967296))
+    h = F.pmod(F.pmod(F.col(key), F.lit(2147483648)) * F.lit(2654435761), F.lit(4294967296))
     return df.withColumn("_h", h).orderBy("_h", *ties).limit(n).drop("_h")

@@ -24,7 +24,6 @@ from ratingloom.sources.schemas import NO_GENRES
 
 SEGMENT_COLUMNS = ["rating_count", "rating_mean", "rating_std", "rating_min", "rating_max",
                    "movieId_nunique", "activity_span_days", "rating_frequency", "rating_range"]
-MAX_MICRO = 500
 
 
 def join_clusters(ratings: DataFrame, users: DataFrame, items: DataFrame) -> DataFrame:
@@ -35,12 +34,12 @@ def join_clusters(ratings: DataFrame, users: DataFrame, items: DataFrame) -> Dat
 # --- features ---------------------------------------------------------------------------------
 
 def segmentation_features(ratings: DataFrame, movies: DataFrame | None = None,
-                          n_genres: int = 10) -> DataFrame:
-    """Nine rating statistics per user and the mean ratings of up to ten genres."""
+                          names: Sequence[str] | None = None) -> DataFrame:
+    """Nine rating statistics per user and the mean ratings of the genres ``names`` (all)."""
     stats = user_statistics(ratings).select("userId", *SEGMENT_COLUMNS)
     if movies is None:
         return stats
-    prefs = user_genre_prefs(ratings, movies, names=genre_names(movies, n_genres))
+    prefs = user_genre_prefs(ratings, movies, names)
     return stats.join(prefs, "userId", "left").fillna(0)
 
 
@@ -53,7 +52,7 @@ def movie_cluster_features(ratings: DataFrame, movies: DataFrame, tags: DataFram
         F.min("rating").alias("rating_min"), F.max("rating").alias("rating_max"),
         F.count_distinct("userId").alias("userId_nunique"),
     )
-    names = genre_names(movies, 1000)
+    names = genre_names(movies)
     flags = movies.select("movieId", *[
         F.array_contains("genre_list", g).cast("int").alias(g) for g in names if g != NO_GENRES
     ])
@@ -95,26 +94,24 @@ def kmeans_users(features: DataFrame, k: int = 8, starts: int = 10) -> DataFrame
     return kmeans(features, columns, k, "userId", starts, reduce_to=10)[0]
 
 
-def kmeans_cold_start(user_features: DataFrame, movie_features: DataFrame, fast: bool = False
-                      ) -> tuple[DataFrame, DataFrame]:
-    """Clusters of users by activity and of items by content flags.
+def kmeans_cold_start(user_features: DataFrame, movie_features: DataFrame, fast: bool = False,
+                      user_k: int = 20, item_k: int = 50) -> tuple[DataFrame, DataFrame]:
+    """``user_k`` clusters of users by activity and ``item_k`` of items by content flags.
 
-    The number of clusters grows with the rows: n/100 up to 20 and 50; the fast variant
-    takes n/500 and n/200 and ten iterations. (Rotating its four scaled features onto all
+    The fast variant stops after ten iterations. (Rotating its four scaled features onto all
     four singular vectors would not change a distance, so that step is left out.)
     """
-    n_users, n_items = user_features.count(), movie_features.count()
     if fast:
         columns = ["rating_count", "rating_mean", "rating_std", "movie_diversity"]
-        hashed = [c for c in movie_features.columns if c.startswith("genre_hash_")][:20]
-        users = kmeans(user_features, columns, min(20, n_users // 500), "userId", max_iter=10)
-        items = kmeans(movie_features, hashed, min(50, n_items // 200), "movieId", max_iter=10)
+        hashed = [c for c in movie_features.columns if c.startswith("genre_hash_")]
+        users = kmeans(user_features, columns, user_k, "userId", max_iter=10)
+        items = kmeans(movie_features, hashed, item_k, "movieId", max_iter=10)
     else:
         columns = ["rating_count", "activity_span_days", "rating_frequency"]
         flags = [c for c in numeric_columns(movie_features)
                  if c.startswith("genre_") or c.startswith("is_")]
-        users = kmeans(user_features, columns, min(20, n_users // 100), "userId")
-        items = kmeans(movie_features, flags, min(50, n_items // 100), "movieId")
+        users = kmeans(user_features, columns, user_k, "userId")
+        items = kmeans(movie_features, flags, item_k, "movieId")
     return users[0], items[0]
 
 
@@ -195,24 +192,31 @@ def cut_tree(n: int, merges: list[tuple], k: int | None = None, height: float |
 
 
 def elbow(heights: Sequence[float], last: int = 50) -> int:
-    """Clusters before the sharpest change among the last merges."""
-    tail = np.array(heights[-last:])[::-1]
-    change = np.diff(tail, 2)
-    return int(change.argmax()) + 2 if len(change) else 1
+    """The number of clusters at which the merge heights bend most (their second difference),
+    looked for among the last merges; 1 if there are too few to bend.
+
+    Going from k to k - 1 clusters costs the k-th height from the end.
+    """
+    top = min(last, len(heights))
+
+    def bend(k: int) -> float:
+        return heights[-(k - 1)] - 2 * heights[-k] + heights[-(k + 1)]
+
+    return max(range(2, top), key=bend, default=1) if top > 2 else 1
 
 
 def hierarchical_two_level(df: DataFrame, columns: Sequence[str], key: str,
                            linkages: Sequence[str] = ("ward",),
                            cuts: Sequence[int | None] = (None,), height: float | None = None,
-                           micro: int = MAX_MICRO, seed: int = 42) -> dict:
+                           micro: int = 500, seed: int = 42) -> dict:
     """``{(linkage, k): (key, cluster)}``: k-means micro-clusters on Spark, then linkage merges.
 
-    Only the micro-cluster centres, ``MAX_MICRO`` at most, reach the driver; the labels go
-    back to the rows as a lookup by micro-cluster.
+    ``micro`` is the resolution: so many centres reach the driver, whatever the number of rows;
+    the labels go back to the rows as a lookup by micro-cluster.
     """
     scaled = scale.scale_standard(df.fillna(0, subset=list(columns)), columns)
     data = stage(assemble(scaled, [f"{c}_scaled" for c in columns]).select(key, "features"))
-    model = KMeans(k=min(micro, MAX_MICRO), seed=seed, maxIter=20).fit(data)
+    model = KMeans(k=micro, seed=seed, maxIter=20).fit(data)
     centers = np.array(model.clusterCenters())
     placed = stage(model.transform(data).select(key, F.col("prediction").alias("micro")))
     counts = {r["micro"]: r["count"] for r in placed.groupBy("micro").count().collect()}

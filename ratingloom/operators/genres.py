@@ -32,22 +32,19 @@ def top_genres(movies: DataFrame, k: int) -> list[str]:
             .collect()]
 
 
-def genre_names(movies: DataFrame, limit: int) -> list[str]:
-    """The first ``limit`` real genres in alphabetical order."""
+def genre_names(movies: DataFrame) -> list[str]:
+    """All real genres in alphabetical order."""
     return [
         r["genre"] for r in
         movie_genres(movies).where(F.col("genre") != NO_GENRES).select("genre").distinct()
-        .orderBy("genre").limit(limit).collect()
+        .orderBy("genre").collect()
     ]
 
 
-def genre_binary(movies: DataFrame, max_genres: int = 1000) -> DataFrame:
+def genre_binary(movies: DataFrame) -> DataFrame:
     """A 0/1 column per genre, the genre count, single/multi flags and the list's diversity."""
     names = [r["genre"] for r in
-             movie_genres(movies).select("genre").distinct().orderBy("genre")
-             .limit(max_genres + 1).collect()]
-    if len(names) > max_genres:
-        raise ValueError(f"more than {max_genres} genres")
+             movie_genres(movies).select("genre").distinct().orderBy("genre").collect()]
     n = F.coalesce(F.size("genre_list"), F.lit(0))
     return movies.select(
         "movieId",
@@ -149,13 +146,13 @@ def genre_expected_rating(ratings: DataFrame, movies: DataFrame) -> DataFrame:
     )
 
 
-def user_genre_prefs(ratings: DataFrame, movies: DataFrame, n_genres: int = 20,
+def user_genre_prefs(ratings: DataFrame, movies: DataFrame,
                      names: Sequence[str] | None = None) -> DataFrame:
-    """Per user the mean rating of each of the first genres; 0 where there is none.
+    """Per user the mean rating of each of the genres ``names`` (all); 0 where there is none.
 
     Conditional averages over the rating rows: the genres are never exploded.
     """
-    names = genre_names(movies, n_genres) if names is None else names
+    names = genre_names(movies) if names is None else names
     return (
         ratings.join(movies.select("movieId", "genre_list"), "movieId", "left")
         .groupBy("userId").agg(*[

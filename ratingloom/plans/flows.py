@@ -20,15 +20,21 @@ from ratingloom.operators import (
 from ratingloom.sources import files
 
 
+#: Tables of a prepared run.
+PREPARED = ["ratings", "movies", "tags", "user_features", "movie_features", "feature_matrix",
+            "user_temporal", "movie_temporal", "tag_stats", "genre_features", "cold_start_users",
+            "cold_start_movies"]
+
+
 def prepare(ratings: DataFrame, movies: DataFrame, tag_table: DataFrame, as_of_year: int,
             folder: str | None = None) -> dict[str, DataFrame]:
     """Clean the three tables, build every feature table and the five data sets.
 
-    With ``folder`` a valid earlier run is returned instead, and a new run is saved there.
+    With ``folder`` a valid earlier run is returned instead, and a new run is saved there; both
+    have the same tables. The folder belongs to one set of inputs.
     """
-    names = ["ratings", "user_features", "movie_features", "feature_matrix"]
     if folder is not None:
-        found = files.load_run(ratings.sparkSession, folder, required=names)
+        found = files.load_run(ratings.sparkSession, folder, required=PREPARED)
         if found:
             return found
     clean_movies = clean.clean_movies(movies)
@@ -58,7 +64,8 @@ def prepare(ratings: DataFrame, movies: DataFrame, tag_table: DataFrame, as_of_y
         "cold_start_movies": coldstart.cold_start_movie(facts, clean_movies),
     }
     if folder is not None:
-        files.save_run({n: out[n] for n in names}, folder)
+        files.save_run(out, folder)
+        return files.load_run(ratings.sparkSession, folder, required=PREPARED)
     return out
 
 
@@ -105,16 +112,17 @@ def scaled_split(data: DataFrame, columns: list[str]) -> tuple[DataFrame, DataFr
 def fit_regressions(data: DataFrame, columns: list[str]) -> DataFrame:
     """The descent methods compared on a supervised data set."""
     train, test, names = scaled_split(data, columns)
-    keyed = train.withColumn("key", F.col("userId") * 1_000_003 + F.col("movieId"))
+    keyed = train.withColumn("key", F.xxhash64("userId", "movieId"))
     return regress.compare_methods(keyed, test, names, "label", "key")
 
 
 def fit_classifiers(data: DataFrame, columns: list[str], **sizes) -> DataFrame:
     """Metrics of every classifier and of their vote; classes balanced first when needed."""
     train, test, names = scaled_split(data, columns)
-    row = F.xxhash64("userId", "movieId")
+    row = F.monotonically_increasing_id()
+    test = stage(test.withColumn("row", row))
     balanced = stage(classify.smote_oversample(train.withColumn("row", row), names, "row"))
-    _, scored = classify.train_classifiers(balanced, test.withColumn("row", row), names, "row",
+    _, scored = classify.train_classifiers(balanced, test, names, "row",
                                            **sizes)
     scored = stage(scored)
     vote = classify.soft_voting(scored, "row").withColumn("model", F.lit("voting_ensemble"))
@@ -139,7 +147,7 @@ def cluster_all(ratings: DataFrame, movies: DataFrame, n_user_clusters: int = 8
         "user_clusters": users, "movie_clusters": labels,
         "user_profiles": cluster.cluster_profiles(segments.join(users, "userId")),
         "movie_profiles": cluster.movie_cluster_stats(
-            items.join(labels, "movieId"), genres.genre_names(movies, 1000)),
+            items.join(labels, "movieId"), genres.genre_names(movies)),
         "cross_ratings": cross, "patterns": cluster.cross_cluster_patterns(cross),
     }
 

@@ -53,10 +53,10 @@ def classifier_rows(star):
 
     def labelled(df):
         return df.select("userId", "movieId", *SCALED,
-                         F.xxhash64("userId", "movieId").alias("row"),
+                         F.monotonically_increasing_id().alias("row"),
                          (F.col("rating") >= 4).cast("int").alias("label"))
 
-    return labelled(train), labelled(test)
+    return stage(labelled(train)), stage(labelled(test))
 
 
 @query("train_classifiers")
@@ -67,12 +67,19 @@ def train_classifiers(star):
     return classify.binary_metrics(scored, ["model"])
 
 
-@query("soft_voting")
+@query("soft_voting", "WITH " + HASHED + """
+SELECT label, count(*) AS n, count(*) AS n_rows, CAST(0 AS BIGINT) AS unknown_classes
+FROM hashed WHERE NOT inside GROUP BY label
+""")
 def soft_voting(star):
+    """The vote has every test row once; models are fitted in full, the sums are what SQL knows."""
     train, test = classifier_rows(star)
-    _, scored = classify.train_classifiers(train, test, SCALED, "row", trees=10, rounds=5,
-                                           iterations=20, names=["logistic", "random_forest"])
-    return classify.soft_voting(scored, "row")
+    _, scored = classify.train_classifiers(train, test, SCALED, "row", trees=20, rounds=10,
+                                           iterations=50)
+    voted = classify.soft_voting(scored, "row")
+    return voted.groupBy(F.col("label").cast("int").alias("label")).agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("row").alias("n_rows"),
+        F.sum((~F.col("prediction").isin(0.0, 1.0)).cast("long")).alias("unknown_classes"))
 
 
 #: Documents scored by length against their quality label.
@@ -173,13 +180,13 @@ def best_model(star):
 
 @query("genre_labels", """
 WITH names AS (SELECT DISTINCT genre FROM movie_genres WHERE genre <> '(no genres listed)'
-               ORDER BY genre LIMIT 10)
+               ORDER BY genre)
 SELECT "movieId", 'label_' || genre AS genre,
        CAST(list_contains(genre_list, genre) AS INTEGER) AS label
 FROM clean_movies, names
 """)
 def genre_labels(star):
-    names = genres.genre_names(star.clean_movies, 10)
+    names = genres.genre_names(star.clean_movies)
     wide = classify.genre_labels(star.clean_movies, names)
     return wide.unpivot("movieId", [f"`{c}`" for c in wide.columns[1:]], "genre", "label")
 
@@ -187,7 +194,7 @@ def genre_labels(star):
 @query("genre_predictors")
 def genre_predictors(star):
     items = features.movie_user_prefs(star.ratings)
-    names = genres.genre_names(star.clean_movies, 10)
+    names = genres.genre_names(star.clean_movies)
     return classify.genre_predictors(items, star.clean_movies, names, trees=20)[1]
 
 

@@ -31,7 +31,7 @@ def movie_clusters(star):
 
 @query("segmentation_features", "WITH " + SEGMENTS + """,
 names AS (SELECT DISTINCT genre FROM movie_genres WHERE genre <> '(no genres listed)'
-          ORDER BY genre LIMIT 10),
+          ORDER BY genre),
 mg AS (SELECT DISTINCT "movieId", genre FROM movie_genres JOIN names USING (genre)),
 prefs AS (SELECT "userId", sum(m) AS pref_total, max(m) AS pref_best FROM (
             SELECT "userId", genre, avg(rating) AS m FROM ratings JOIN mg USING ("movieId")
@@ -95,7 +95,7 @@ def assign_clusters(star):
 def hierarchical_two_level(star):
     items = stage(cluster.movie_cluster_features(star.ratings, star.clean_movies))
     columns = [c for c in items.columns if c != "movieId"]
-    return cluster.hierarchical_two_level(items, columns, "movieId", micro=200)[("ward", None)]
+    return cluster.hierarchical_two_level(items, columns, "movieId")[("ward", None)]
 
 
 @query("movie_cluster_features", """
@@ -158,7 +158,7 @@ def cluster_quality(star):
 def compare_linkages(star):
     items = stage(cluster.movie_cluster_features(star.ratings, star.clean_movies))
     columns = [c for c in items.columns if c != "movieId"]
-    return cluster.compare_linkages(items, columns, "movieId", micro=100)
+    return cluster.compare_linkages(items, columns, "movieId")
 
 
 @query("cluster_profiles", "WITH " + SEGMENTS + """,
@@ -198,7 +198,7 @@ SELECT c AS cluster_id, count(*) AS size, avg(m) AS avg_rating, avg(n) AS avg_po
 """, "avg_rating avg_popularity")
 def movie_cluster_stats(star):
     items = cluster.movie_cluster_features(star.ratings, star.clean_movies)
-    names = genres.genre_names(star.clean_movies, 1000)
+    names = genres.genre_names(star.clean_movies)
     return cluster.movie_cluster_stats(items.withColumn("cluster", F.col("movieId") % 6), names)
 
 

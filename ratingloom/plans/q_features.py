@@ -356,7 +356,7 @@ def genre_expected_rating(star):
 
 @query("user_genre_prefs", """
 WITH names AS (SELECT DISTINCT genre FROM movie_genres WHERE genre <> '(no genres listed)'
-               ORDER BY genre LIMIT 20),
+               ORDER BY genre),
 mg AS (SELECT DISTINCT "movieId", genre FROM movie_genres JOIN names USING (genre)),
 users AS (SELECT DISTINCT "userId" FROM ratings),
 means AS (SELECT "userId", genre, avg(rating) AS m FROM ratings JOIN mg USING ("movieId")

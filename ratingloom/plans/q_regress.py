@@ -118,7 +118,7 @@ def weights_table(star, settings):
 def gd_mini_batch(star):
     train, test = split(star)
     s = regress.gd_mini_batch(
-        train.withColumn("key", F.col("userId") * 1_000_003 + F.col("movieId")), SCALED, "rating",
+        train.withColumn("key", F.xxhash64("userId", "movieId")), SCALED, "rating",
         "key", regress.Descent(learning_rate=0.01, iterations=30, penalty="l2"),
         validation=regress.moments(test, SCALED, "rating"))
     return weights_table(star, s)
@@ -188,7 +188,7 @@ def regression_metrics(star):
 @query("compare_methods")
 def compare_methods(star):
     train, test = split(star)
-    keyed = train.withColumn("key", F.col("userId") * 1_000_003 + F.col("movieId"))
+    keyed = train.withColumn("key", F.xxhash64("userId", "movieId"))
     return regress.compare_methods(keyed, test, SCALED, "rating", "key", iterations=100)
 
 

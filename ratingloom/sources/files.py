@@ -11,8 +11,6 @@ from pyspark.sql import types as T
 from ratingloom.operators.clean import numeric_columns
 from ratingloom.sources.schemas import MOVIES, RATINGS, TAGS
 
-GZIP_ABOVE_ROWS = 1_000_000
-
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Header CSV with quoted fields; the schema is given, never inferred."""
@@ -46,12 +44,10 @@ def write_csv(df: DataFrame, path: str) -> None:
     )
 
 
-def write_parquet(df: DataFrame, path: str, rows: int | None = None,
+def write_parquet(df: DataFrame, path: str, compression: str = "snappy",
                   partition_by: Sequence[str] = ()) -> None:
-    """Parquet, gzip above a million rows and snappy below."""
-    n = df.count() if rows is None else rows
-    codec = "gzip" if n > GZIP_ABOVE_ROWS else "snappy"
-    writer = df.write.mode("overwrite").option("compression", codec)
+    """Parquet with the codec given, whatever the size; gzip suits what is kept for long."""
+    writer = df.write.mode("overwrite").option("compression", compression)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
