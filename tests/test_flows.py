@@ -10,7 +10,7 @@ def test_prepared_tables_and_data_sets(star, tmp_path):
     assert made["feature_matrix"].count() == made["ratings"].count()
     assert made["user_temporal"].count() == made["user_features"].count()
     again = flows.prepare(star.ratings, star.movies, star.tags, 2025, folder)
-    assert set(again) == {"ratings", "user_features", "movie_features", "feature_matrix"}
+    assert set(again) == set(made) == set(flows.PREPARED)
     assert again["user_features"].count() == made["user_features"].count()
     report = quality.validate_ml_datasets(flows.data_sets(made)).collect()
     assert len(report) == 5 and all(r["valid"] for r in report)
