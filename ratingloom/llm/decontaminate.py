@@ -29,8 +29,9 @@ SEGMENT_WORDS = 1_000_000
 #: several passes, each with an index of its own terms.
 BLOCK_WORDS = 2_000_000
 
-SEGMENT = ("row array<long>, start array<long>, size array<int>, term array<int>,"
+SEGMENT = ("row array<long>, id array<{id}>, start array<long>, size array<int>, term array<int>,"
            " first array<int>, position array<int>")
+NAMES = ["row", "id", "start", "size", "term", "first", "position"]
 MATCH = "row long, first int, last int, item string"
 
 
@@ -59,24 +60,32 @@ class Windows:
 
 
 def build_index(docs: DataFrame, vocabulary) -> DataFrame:
-    """Segments of ``docs(row, text)``; ``vocabulary`` is a broadcast dict of terms worth a list."""
+    """Segments of ``docs(row, id, text)``; ``vocabulary`` is a broadcast dict of terms worth a list.
+
+    A segment holds the ids of its rows: row numbers follow from the splits of a scan, which may
+    be others when the table is read again, so nothing is looked up by them but in the index.
+    """
+    kind = docs.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = vocabulary.value
-        rows, parts, total = [], [], 0
+        rows, ids, parts, total = [], [], [], 0
         for batch in batches:
-            for row, text in zip(batch.column(0).to_pylist(), utf8(batch.column(1))):
+            id_type = batch.schema.field(1).type
+            for row, key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(),
+                                      utf8(batch.column(2))):
                 words = alnum_words(text)
                 if rows and total + len(words) > SEGMENT_WORDS:
-                    yield segment(rows, parts)
-                    rows, parts, total = [], [], 0
+                    yield segment(rows, ids, id_type, parts)
+                    rows, ids, parts, total = [], [], [], 0
                 rows.append(row)
+                ids.append(key)
                 parts.append(np.fromiter((known.get(w, -1) for w in words), np.int32, len(words)))
                 total += len(words)
         if rows:
-            yield segment(rows, parts)
+            yield segment(rows, ids, id_type, parts)
 
-    def segment(rows, parts):
+    def segment(rows, ids, id_type, parts):
         size = np.array([len(p) for p in parts], np.int32)
         start = np.cumsum(size + 1, dtype=np.int64) - size - 1  # one free place between documents
         place = np.concatenate([np.arange(s, s + n) for s, n in zip(start, size)])
@@ -89,10 +98,11 @@ def build_index(docs: DataFrame, vocabulary) -> DataFrame:
                  "term": distinct.astype(np.int32),
                  "first": np.r_[first, len(order)].astype(np.int32),
                  "position": place[order].astype(np.int32)}
-        return pa.RecordBatch.from_pydict(
-            {k: pa.array([v], pa.list_(pa.from_numpy_dtype(v.dtype))) for k, v in lists.items()})
+        columns = {k: pa.array([v], pa.list_(pa.from_numpy_dtype(v.dtype))) for k, v in lists.items()}
+        columns["id"] = pa.array([ids], pa.list_(id_type))
+        return pa.RecordBatch.from_pydict({k: columns[k] for k in NAMES})
 
-    return docs.select("row", "text").mapInArrow(run, SEGMENT)
+    return docs.select("row", "id", "text").mapInArrow(run, SEGMENT.format(id=kind))
 
 
 def frequencies(index: DataFrame) -> dict[int, int]:
@@ -187,7 +197,7 @@ def matches(index: DataFrame, windows: Windows, slop: int = 0) -> DataFrame:
                         (pa.int64(), pa.int32(), pa.int32(), pa.string()))],
                     ["row", "first", "last", "item"])
 
-    return index.mapInArrow(run, MATCH)
+    return index.drop("id").mapInArrow(run, MATCH)
 
 
 def joined(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -240,7 +250,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
         vocabulary = docs.sparkSession.sparkContext.broadcast(windows.vocabulary)
         index = stage(build_index(source, vocabulary))
         if sizes is None:
-            sizes = index.select(F.inline(F.arrays_zip("row", "size")))
+            sizes = index.select(F.inline(F.arrays_zip("row", "id", "size")))
         hits = matches(index, windows, slop)
         found = hits if found is None else found.union(hits)
     hit = found.groupBy("row").agg(
@@ -254,7 +264,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     items = F.filter("items", lambda x: x != "")
     hit = hit.select("row", covered.alias("n_hit"), F.size(items).cast("long").alias("n_items"),
                      F.sha2(F.concat_ws(",", items), 256).alias("items_sha256"))
-    return (source.select("row", "id").join(sizes, "row").join(hit, "row", "left").select(
+    return (sizes.join(hit, "row", "left").select(
         F.col("id").alias(id_col), F.col("size").cast("long").alias("n_words"),
         F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
         F.coalesce("n_items", F.lit(0)).cast("long").alias("n_items"),
