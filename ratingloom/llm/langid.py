@@ -202,7 +202,7 @@ def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang",
     """A model from the texts and labels of ``labelled``.
 
     Fits on a bounded sample: at most ``sample`` rows of each language, those with the smallest
-    checksums of their texts. Rows with a null text or label teach nothing. A language with less
+    checksums of their texts; copies of a text count once. Rows with a null text or label teach nothing. A language with less
     than ``least_share`` of the rows is not learned, so there are at most 1 / least_share.
     """
     rows = labelled.select(F.col(lang_col).cast("string").alias("lang"),
@@ -214,11 +214,12 @@ def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang",
     if not kept:
         return Model([], np.zeros((BUCKETS, 0), np.float32), np.zeros((len(NAMES), 0), bool),
                      np.zeros(0))
-    # Checksums are uniform, so a cut at the wanted share leaves close to ``sample`` rows.
+    # Checksums are uniform, so a cut at the wanted share leaves close to ``sample`` rows, but all
+    # or none of a group of copies; those come down to one, in the tasks that read them first.
     cut = F.lit(0)
     for lang, n in kept.items():
         cut = F.when(F.col("lang") == lang, int(min(1.0, sample / n) * 2 ** 32)).otherwise(cut)
-    chosen = rows.filter(F.crc32(F.col("text").cast("binary")) < cut)
+    chosen = rows.filter(F.crc32(F.col("text").cast("binary")) < cut).distinct()
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words: dict[str, Counter] = {}
