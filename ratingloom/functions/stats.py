@@ -75,11 +75,12 @@ def _bracketed_quantile(values: DataFrame, n: int, p: float, accuracy: int) -> f
         if below <= low_rank and high_rank < below + within:
             break
         margin *= 4
-    upto = F.sum("c").over(Window.orderBy("v"))
-    # the window sees the distinct values of the bracket, about 4/accuracy of them
+    # The bracket holds about 4/accuracy of the values, which grows with the table: the running
+    # count over them is range-partitioned.
+    distinct = values.where(inside).groupBy("v").agg(F.count(F.lit(1)).alias("c"))
     found = (
-        values.where(inside).groupBy("v").agg(F.count(F.lit(1)).alias("c"))
-        .withColumn("upto", upto + F.lit(below))
+        running_totals(distinct, [F.col("v").asc()], {"upto": F.col("c")})
+        .withColumn("upto", F.col("upto") + F.lit(below))
         .agg(
             F.min(F.when(F.col("upto") > low_rank, F.col("v"))).alias("a"),
             F.min(F.when(F.col("upto") > high_rank, F.col("v"))).alias("b"),

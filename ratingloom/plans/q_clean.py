@@ -406,12 +406,14 @@ FROM clean_movies
 UNION ALL
 SELECT 'nations', count(*), 3, 0, '', 'few samples', true FROM nation
 UNION ALL
-SELECT 'baskets', 0, 2, 0, 'no transactions', '', false
+SELECT 'baskets', count(*), 2, count(*) - count(item),
+       CASE WHEN count(*) = 0 THEN 'no transactions' ELSE '' END,
+       CASE WHEN count(*) BETWEEN 1 AND 99 THEN 'few transactions' ELSE '' END, count(*) > 0
+FROM (SELECT "userId", count(DISTINCT item) AS item FROM brand_ratings GROUP BY 1)
 """)
 def validate_ml_datasets(star):
-    baskets = star.table("region").where("r_regionkey < 0").select(
-        "r_regionkey", F.lit(0).alias("basket_size")
-    )
+    baskets = star.brand_ratings.groupBy("userId").agg(
+        F.countDistinct("item").alias("basket_size"))
     return quality.validate_ml_datasets({
         "customers": star.table("customer"), "movies": star.clean_movies,
         "nations": star.table("nation"), "baskets": baskets,

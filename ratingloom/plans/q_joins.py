@@ -73,11 +73,11 @@ def join_ratings_genres(star):
 
 @query("orphan_ratings", """
 SELECT "userId", "movieId", rating, CAST(epoch("timestamp") AS BIGINT) AS epoch FROM ratings
-WHERE "movieId" NOT IN (SELECT p_partkey FROM part WHERE p_size <= 40)
+WHERE "movieId" NOT IN (SELECT "movieId" FROM clean_movies WHERE year IS NOT NULL)
 """, "rating")
 def orphan_ratings(star):
-    known = star.table("part").where("p_size <= 40").select(F.col("p_partkey").alias("movieId"))
-    return matrix.orphan_ratings(star.ratings, known).select(
+    """Ratings of items without a dated entry; the catalogue has an entry for every rated item."""
+    return matrix.orphan_ratings(star.ratings, star.clean_movies.where("year IS NOT NULL")).select(
         "userId", "movieId", "rating", epoch("timestamp"))
 
 
@@ -137,14 +137,16 @@ def cluster_cross_join_ratings(star):
 
 
 @query("map_lookup", """
-SELECT r."userId", r."movieId", coalesce(m.title, 'Movie_' || r."movieId") AS title
-FROM ratings r LEFT JOIN (SELECT * FROM movies WHERE "movieId" % 5 <> 0) AS m USING ("movieId")
+SELECT r."userId", r."movieId", coalesce(m.tag, 'Movie_' || r."movieId") AS tag
+FROM ratings r LEFT JOIN (SELECT "movieId", min(tag_clean) AS tag FROM clean_tags GROUP BY 1) AS m
+USING ("movieId")
 """)
 def map_lookup(star):
-    known = star.movies.where("movieId % 5 <> 0")
+    """The first tag of every rated item, or a name made of its key."""
+    known = star.clean_tags.groupBy("movieId").agg(F.min("tag_clean").alias("tag"))
     default = F.concat(F.lit("Movie_"), F.col("movieId").cast("string"))
     return matrix.map_lookup(
-        star.ratings.select("userId", "movieId"), known, "movieId", "title", default)
+        star.ratings.select("userId", "movieId"), known, "movieId", "tag", default)
 
 
 @query("set_difference", """
