@@ -282,6 +282,36 @@ def test_pipeline_against_its_operators(spark, docs):
     assert pipeline.run(spark, SMALL).count() > 0
 
 
+def test_rows_keep_their_names_when_a_rescan_is_split_differently(spark, docs, tmp_path):
+    import corpus_pipeline as pipeline
+    from ratingloom.llm import decontaminate
+
+    path, split = f"{tmp_path}/docs", "spark.sql.files.maxPartitionBytes"
+    docs.repartition(12).write.parquet(path)
+    read = spark.read.parquet(path)
+    usual = spark.conf.get(split)
+    bench = spark.read.parquet(f"{SMALL}/benchmark.parquet")
+    jobs = [lambda: pipeline.near_duplicates(spark, read, SMALL).select("doc_id"),
+            lambda: pipeline.decontamination(spark, read, SMALL).select("doc_id"),
+            lambda: decontaminate.contamination(read, bench)]
+    for job in jobs:
+        want = sorted(tuple(r) for r in job().collect())
+        try:
+            lazy = job()
+            spark.conf.set(split, "4096")
+            got = sorted(tuple(r) for r in lazy.collect())
+        finally:
+            spark.conf.set(split, usual)
+        assert got == want
+
+
+def test_training_sample_counts_copies_once(spark, docs):
+    learned = docs.select("text", "lang")
+    copied = learned.union(learned)
+    once, twice = (langid.train(x, sample=10 ** 9) for x in (learned, copied))
+    assert once.languages == twice.languages and (once.logp == twice.logp).all()
+
+
 def test_pipeline_edges(spark, tmp_path):
     import corpus_pipeline as pipeline
 
