@@ -147,7 +147,7 @@ def dense_index(df: DataFrame, column: str, out: str) -> DataFrame:
     )
 
 
-#: Keys with more rows than this are split by hour instead of sorted as a whole.
+#: Keys with more rows than this are cut into ranges instead of sorted as a whole.
 HOT_ROWS = 1_000_000
 
 
@@ -159,9 +159,10 @@ def running_by_key(
 
     The order is ``ts`` then ``ties``; with ``peers`` rows of equal time count together and
     ``ties`` must be empty. Keys of ordinary size take one window. Keys with more than
-    ``hot_rows`` rows are summed per (key, hour) first: the offsets are a window over those
-    sums, whose number the calendar bounds, and rows are only sorted within their hour, so
-    one key with a large share of the table is still spread over many tasks.
+    ``hot_rows`` rows are range-partitioned in the same order: the offsets are a window over
+    the sums per (key, range) and rows are only sorted within their range, so one key with a
+    large share of the table is still spread over many tasks, whatever its times. Rows equal
+    in the whole order share a range: with ``peers`` sum them per time first.
     """
     hot_rows = HOT_ROWS if hot_rows is None else hot_rows
     ends = ends or {}
@@ -179,29 +180,32 @@ def running_by_key(
             *[F.sum(e).over(whole_key).alias(n) for n, e in ends.items()],
         )
 
-    hot = (
+    hot = stage(
         df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows)
         .select(key)
     )
-    if not hot.limit(1).count():
+    if hot.isEmpty():
         return plain(df)
-    rows = df.join(hot, key, "left_semi").withColumn("_hour", F.date_trunc("hour", F.col(ts)))
-    before = whole_key.orderBy("_hour").rowsBetween(first, -1)
+    rows = stage(
+        df.join(hot, key, "left_semi").repartitionByRange(key, ts, *ties)
+        .withColumn("_run", F.spark_partition_id())
+    )
+    before = whole_key.orderBy("_run").rowsBetween(first, -1)
     offsets = (
-        rows.groupBy(key, "_hour").agg(
+        rows.groupBy(key, "_run").agg(
             *[F.sum(e).alias(f"_s_{n}") for n, e in totals.items()],
             *[F.sum(e).alias(f"_e_{n}") for n, e in ends.items()],
         ).select(
-            key, "_hour",
+            key, "_run",
             *[F.coalesce(F.sum(f"_s_{n}").over(before), F.lit(0)).alias(f"_o_{n}")
               for n in totals],
             *[F.sum(f"_e_{n}").over(whole_key).alias(n) for n in ends],
         )
     )
     split = (
-        rows.select("*", *[F.sum(e).over(frame(key, "_hour")).alias(f"_r_{n}")
+        rows.select("*", *[F.sum(e).over(frame(key, "_run")).alias(f"_r_{n}")
                            for n, e in totals.items()])
-        .join(offsets, [key, "_hour"])
+        .join(offsets, [key, "_run"])
         .select(*df.columns, *[(F.col(f"_r_{n}") + F.col(f"_o_{n}")).alias(n) for n in totals],
                 *ends)
     )

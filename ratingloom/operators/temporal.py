@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ratingloom.functions.staging import stage
 from ratingloom.functions.stats import ordered_index, running_by_key
 from ratingloom.functions.times import days_between, whole_days
 
@@ -61,7 +62,11 @@ def rating_acceleration(ratings: DataFrame, min_rows: int = 20, min_months: int
 
 
 def user_temporal(ratings: DataFrame) -> DataFrame:
-    """Per user: dates, active days, pace, acceleration, trend, weekend and night shares."""
+    """Per user: dates, active days, pace, acceleration, trend, weekend and night shares.
+
+    The ratings are staged, so their source is read once.
+    """
+    ratings = stage(ratings.select("userId", "movieId", "rating", "timestamp"))
     hour = F.hour("timestamp")
     base = ratings.groupBy("userId").agg(
         F.min("timestamp").alias("first_rating_date"),
@@ -128,13 +133,23 @@ def rating_volatility(ratings: DataFrame, days: int = 30, hot_rows: int | None =
     )
 
 
+def monthly_levels(ratings: DataFrame) -> DataFrame:
+    """``movieId, month`` (its last day) with count, sum and first time of the ratings."""
+    return ratings.groupBy("movieId", F.last_day("timestamp").alias("month")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("rating").alias("s"),
+        F.min("timestamp").alias("first_rating"),
+    )
+
+
 def peak_month(ratings: DataFrame) -> DataFrame:
     """Per item the last day of the month with the highest mean rating, the earliest on a tie."""
-    monthly = ratings.groupBy("movieId", F.last_day("timestamp").alias("month")).agg(
-        F.avg("rating").alias("m")
-    )
+    return _peak(monthly_levels(ratings))
+
+
+def _peak(monthly: DataFrame) -> DataFrame:
+    low = (-F.col("s") / F.col("n")).alias("m")
     return monthly.groupBy("movieId").agg(
-        F.min(F.struct((-F.col("m")).alias("m"), "month"))["month"].alias("peak_rating_period")
+        F.min(F.struct(low, "month"))["month"].alias("peak_rating_period")
     )
 
 
@@ -143,9 +158,13 @@ def rating_decay(ratings: DataFrame, min_rows: int = 20, min_quarters: int = 4)
 
     Empty quarters keep their index and are left out of the fit.
     """
-    quarterly = ratings.groupBy(
-        "movieId", (F.year("timestamp") * 4 + F.quarter("timestamp")).alias("quarter")
-    ).agg(F.avg("rating").alias("m"), F.count(F.lit(1)).alias("n"))
+    return _decay(monthly_levels(ratings), min_rows, min_quarters)
+
+
+def _decay(monthly: DataFrame, min_rows: int = 20, min_quarters: int = 4) -> DataFrame:
+    quarterly = monthly.groupBy(
+        "movieId", (F.year("month") * 4 + F.quarter("month")).alias("quarter")
+    ).agg((F.sum("s") / F.sum("n")).alias("m"), F.sum("n").alias("n"))
     level = F.log(F.col("m") + F.lit(1e-10))
     out = quarterly.groupBy("movieId").agg(
         F.sum("n").alias("rows"),
@@ -160,10 +179,16 @@ def rating_decay(ratings: DataFrame, min_rows: int = 20, min_quarters: int = 4)
 
 
 def movie_temporal(ratings: DataFrame, movies: DataFrame) -> DataFrame:
-    """Per item: days from release to the first rating, momentum, volatility, peak, decay."""
+    """Per item: days from release to the first rating, momentum, volatility, peak, decay.
+
+    The ratings are staged, so their source is read once; first rating, peak and decay come
+    from one table of months.
+    """
+    ratings = stage(ratings.select("userId", "movieId", "rating", "timestamp"))
+    monthly = stage(monthly_levels(ratings))
     release = F.make_timestamp(F.col("year"), F.lit(1), F.lit(1), F.lit(0), F.lit(0), F.lit(0))
     first = (
-        ratings.groupBy("movieId").agg(F.min("timestamp").alias("first_rating"))
+        monthly.groupBy("movieId").agg(F.min("first_rating").alias("first_rating"))
         .join(movies.select("movieId", "year"), "movieId", "left")
         .select(
             "movieId",
@@ -175,6 +200,6 @@ def movie_temporal(ratings: DataFrame, movies: DataFrame) -> DataFrame:
     return (
         first.join(rating_momentum(ratings), "movieId")
         .join(rating_volatility(ratings), "movieId")
-        .join(peak_month(ratings), "movieId")
-        .join(rating_decay(ratings), "movieId")
+        .join(_peak(monthly), "movieId")
+        .join(_decay(monthly), "movieId")
     )
