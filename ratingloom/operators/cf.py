@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ratingloom.functions.staging import stage
-from ratingloom.functions.stats import quantiles
+from ratingloom.functions.stats import dense_index
 from ratingloom.operators.gram import gram_best, gram_pairs
 from ratingloom.operators.matrix import known_pairs_filter
 
@@ -116,8 +116,8 @@ def shrink(pairs: DataFrame, strength: float = 100.0) -> DataFrame:
 
 def hybrid_similarity(pairs: DataFrame, content: DataFrame, cf_weight: float = 0.8) -> DataFrame:
     """Weighted sum of rating similarity and cosine of content ``(movieId, feature, value)``."""
-    entries = content.select(F.col("movieId").alias("r"), F.xxhash64("feature").alias("f"),
-                             F.col("value").cast("double").alias("v"))
+    entries = content.join(dense_index(content, "feature", "f"), "feature").select(
+        F.col("movieId").alias("r"), "f", F.col("value").cast("double").alias("v"))
     norms = entries.groupBy("r").agg(F.sqrt(F.sum(F.col("v") * F.col("v"))).alias("norm"))
     units = entries.join(norms, "r").select(
         "r", "f", F.coalesce(F.try_divide("v", "norm"), F.lit(0.0)).alias("v"))
@@ -355,21 +355,50 @@ def train_test_split(df: DataFrame, keys: Sequence[str], train_share: float = 0.
 def stratified_split(df: DataFrame, keys: Sequence[str], label: str, train_share: float = 0.8
                      ) -> tuple[DataFrame, DataFrame]:
     """The same with one cut per class, so every class is split in the same proportion."""
-    classes = [r[0] for r in df.select(label).distinct().orderBy(label).limit(1001).collect()]
-    if len(classes) > 1000:
-        raise ValueError(f"{label} is not a class label")
-    hashed = df.withColumns({
-        f"_h{i}": F.when(F.col(label) == F.lit(c), split_hash(*keys))
-        for i, c in enumerate(classes)
-    })
-    cuts = quantiles(hashed, {f"_h{i}": [train_share] for i in range(len(classes))})
-    inside = F.lit(False)
-    for i, c in enumerate(classes):
-        inside = F.when(F.col(label) == F.lit(c),
-                        split_hash(*keys) < F.lit(cuts[(f"_h{i}", train_share)])
-                        ).otherwise(inside)
-    marked = df.withColumn("_in", inside)
-    return marked.where("_in").drop("_in"), marked.where("not _in").drop("_in")
+    hashed = stage(df.withColumn("_h", split_hash(*keys)))
+    cuts = _cuts(hashed.select(F.col(label).alias("_label"), "_h"), train_share)
+    marked = hashed.join(cuts, F.col(label).eqNullSafe(F.col("_label")))
+    inside = F.col("_h") < F.col("_cut")
+    return marked.where(inside).select(*df.columns), marked.where(~inside).select(*df.columns)
+
+
+def _cuts(hashed: DataFrame, share: float) -> DataFrame:
+    """``_label, _cut``: the exact quantile ``share`` of ``_h`` (0 up to 2^32) in every class.
+
+    Counts per (class, leading 16 bits) find the two buckets the rank falls between; only
+    their rows are counted by value. However large a class is, a window sees 65,536 sums of it.
+    """
+    bucket = F.shiftright("_h", 16).alias("_bucket")
+    upto = Window.partitionBy("_label").orderBy("_at").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    whole = Window.partitionBy("_label")
+
+    def counted(rows: DataFrame, at: Column) -> DataFrame:
+        return rows.groupBy("_label", at.alias("_at")).agg(F.count(F.lit(1)).alias("_n"))
+
+    rank = F.lit(share) * (F.col("_rows") - 1)
+    coarse = counted(hashed, bucket).withColumns({
+        "_upto": F.sum("_n").over(upto), "_rows": F.sum("_n").over(whole)})
+    ends = coarse.groupBy("_label").agg(
+        F.max(rank).alias("_rank"),
+        F.min(F.when(F.col("_upto") > F.floor(rank), F.col("_at"))).alias("_lo"),
+        F.min(F.when(F.col("_upto") > F.ceil(rank), F.col("_at"))).alias("_hi"),
+        F.min(F.when(F.col("_upto") > F.floor(rank), F.col("_upto") - F.col("_n")))
+        .alias("_before"),
+    ).withColumnRenamed("_label", "_class")
+    same = F.col("_label").eqNullSafe(F.col("_class"))
+    near = hashed.withColumn("_bucket", bucket).join(
+        ends, same & F.col("_bucket").between(F.col("_lo"), F.col("_hi")))
+    fine = near.groupBy("_label", "_rank", "_before", F.col("_h").alias("_at")).agg(
+        F.count(F.lit(1)).alias("_n")).withColumn("_upto", F.sum("_n").over(upto)
+                                                  + F.col("_before"))
+    low, high = F.floor("_rank"), F.ceil("_rank")
+    return fine.groupBy("_label").agg(
+        F.min(F.when(F.col("_upto") > low, F.col("_at"))).alias("_a"),
+        F.min(F.when(F.col("_upto") > high, F.col("_at"))).alias("_b"),
+        F.max(F.col("_rank") - low).alias("_part"),
+    ).select("_label", (F.col("_a") + (F.col("_b") - F.col("_a")) * F.col("_part"))
+             .alias("_cut"))
 
 
 def evaluate_cf(predicted: DataFrame, by: Sequence[str] = ()) -> DataFrame:

@@ -145,20 +145,20 @@ def gram_pairs(entries: DataFrame, parallelism: int | None = None,
 
 
 def gram_best(entries: DataFrame, k: int, parallelism: int | None = None,
-              blocks: int | None = None, stripes: int | None = None) -> DataFrame:
+              blocks: int | None = None) -> DataFrame:
     """``a, b, dot, n_common`` in both directions with at least the ``k`` largest products of
     every ``a``.
 
-    With one stripe a cell's products are final, so it hands on only what can be among a
-    row's best: about ``k`` per row and block instead of every pair.
+    Features are not striped: a cell's products are final, so it hands on only what can be
+    among a row's best, about ``k`` per row and block instead of every pair. A cell holds its
+    rows' entries whole; more blocks keep it near ``CELL_ENTRIES`` and a single longer row.
     """
-    copies, stripes = copies_by_cell(entries, parallelism, blocks, stripes)
-    if stripes > 1:
-        pairs = gram_pairs(entries, parallelism, blocks, stripes)
-        return pairs.select("dot", "n_common", F.inline(F.array(
-            F.struct(F.col("a"), F.col("b")),
-            F.struct(F.col("b").alias("a"), F.col("a").alias("b")),
-        ))).select("a", "b", "dot", "n_common")
+    if blocks is None:
+        size = entries.agg(F.count_distinct("r").alias("rows"),
+                           F.count(F.lit(1)).alias("n")).first()
+        cores = parallelism or entries.sparkSession.sparkContext.defaultParallelism
+        blocks = max(block_plan(size["rows"], 0, 0, cores)[0], math.ceil(size["n"] / CELL_ENTRIES))
+    copies, _ = copies_by_cell(entries, parallelism, blocks, 1)
 
     def cell(key: tuple[Any, ...], rows: pd.DataFrame) -> pd.DataFrame:
         if key[0] == key[1]:

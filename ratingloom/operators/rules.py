@@ -103,7 +103,7 @@ def frequent_itemsets_apriori(baskets: DataFrame, min_support: float = 0.01,
     ids = stage(dense_index(singles, "item", "i"))
     levels = [singles.select(F.array("item").alias("items"), "freq")]
     entries = useful.join(ids, "item").select(
-        F.col("i").alias("r"), F.xxhash64("userId").alias("f"), F.lit(1.0).alias("v"))
+        F.col("i").alias("r"), F.col("userId").cast("long").alias("f"), F.lit(1.0).alias("v"))
     low, high = ids.toDF("first", "a"), ids.toDF("second", "b")
     pairs = (
         gram_pairs(entries).where(F.col("n_common") >= least)
@@ -219,41 +219,32 @@ def rule_subset_join(rules: DataFrame, baskets: DataFrame, sides: DataFrame | No
                      ) -> DataFrame:
     """``userId, side, antecedents``: the antecedents wholly inside a user's basket.
 
-    Each antecedent list is joined to the baskets through its rarest item only, and the
-    join condition checks the others on bit sets. The bit sets cover the items of the
-    rules, a bounded number, so neither side grows with one user's history.
+    Each antecedent list meets the baskets through its rarest item; a basket found that way
+    is asked for the other items one by one, and has the list if it answers them all. Rows
+    stay rows, so neither the plan nor a row grows with the rules or with a user's history.
     """
     sides = rule_sides(rules) if sides is None else sides
-    used = sides.select(F.explode("antecedents").alias("item")).distinct()
-    kept = stage(baskets.select("userId", "item").join(used, "item", "left_semi").distinct())
-    numbers = stage(
-        kept.groupBy("item").agg(F.count(F.lit(1)).alias("freq"))
-        .join(dense_index(used, "item", "i"), "item")
-    )
-    words = (used.count() + WORD - 1) // WORD
-
-    def bit_sets(df: DataFrame, key: str) -> DataFrame:
-        bit = F.expr(f"shiftleft(cast(1 as bigint), cast(i % {WORD} as int))")
-        return df.join(numbers, "item").groupBy(key).agg(*[
-            F.coalesce(F.bit_or(F.when(F.expr(f"i div {WORD} = {w}"), bit)), F.lit(0))
-            .alias(f"{key}_{w}")
-            for w in range(words)
-        ])
-
-    items = sides.select("side", "antecedents", F.explode("antecedents").alias("item"))
-    rarest = items.join(numbers, "item").groupBy("side").agg(
-        F.min(F.struct("freq", "item"))["item"].alias("item"))
-    needed = bit_sets(items, "side").join(rarest, "side").join(sides, "side")
-    held = kept.join(bit_sets(kept, "userId"), "userId")
-    inside = F.lit(True)
-    for w in range(words):
-        inside = inside & (F.col(f"userId_{w}").bitwiseAND(F.col(f"side_{w}"))
-                           == F.col(f"side_{w}"))
-    return (
-        held.withColumnRenamed("item", "anchor")
-        .join(needed, (F.col("anchor") == F.col("item")) & inside)
-        .select("userId", "side", "antecedents")
+    items = sides.select("side", F.explode(F.array_distinct("antecedents")).alias("item"))
+    kept = stage(baskets.select("userId", "item").join(
+        items.select("item").distinct(), "item", "left_semi").distinct())
+    freq = kept.groupBy("item").agg(F.count(F.lit(1)).alias("freq"))
+    # an item no basket has leaves its lists without a match
+    parts = items.join(freq, "item", "left").groupBy("side").agg(
+        F.array_sort(F.collect_list(F.struct(F.coalesce("freq", F.lit(0)).alias("freq"), "item")))
+        .alias("parts"))
+    asked = parts.select("side", F.col("parts")[0]["item"].alias("item"),
+                         F.expr("slice(parts, 2, size(parts))").alias("rest"))
+    met = kept.join(asked, "item").select("userId", "side", "rest")
+    more = F.size("rest") > 0
+    whole = (
+        met.where(more)
+        .select("userId", "side", F.size("rest").alias("need"), F.explode("rest.item").alias("item"))
+        .join(kept, ["userId", "item"])
+        .groupBy("userId", "side", "need").agg(F.count(F.lit(1)).alias("has"))
+        .where("has = need").select("userId", "side")
     )
+    return met.where(~more).select("userId", "side").unionByName(whole).join(
+        sides, "side").select("userId", "side", "antecedents")
 
 
 def rule_recommend(rules: DataFrame, baskets: DataFrame, n: int = 5) -> DataFrame:

@@ -9,9 +9,6 @@ from pyspark.sql import functions as F
 
 from ratingloom.functions.stats import dense_index, quantiles
 
-#: A one-hot block wider than this is a modelling mistake, not a table.
-MAX_CATEGORIES = 10_000
-
 
 def encode_label(df: DataFrame, column: str) -> DataFrame:
     """Add ``<column>_encoded``: rank of the value among the sorted distinct strings."""
@@ -21,20 +18,27 @@ def encode_label(df: DataFrame, column: str) -> DataFrame:
     return keyed.join(codes, "_value").drop("_value")
 
 
-def categories(df: DataFrame, column: str) -> list:
-    found = [
-        r[0] for r in
-        df.select(column).where(F.col(column).isNotNull()).distinct()
-        .orderBy(column).limit(MAX_CATEGORIES + 1).collect()
-    ]
-    if len(found) > MAX_CATEGORIES:
-        raise ValueError(f"{column} has more than {MAX_CATEGORIES} categories")
-    return found
+def encode_onehot(df: DataFrame, column: str) -> DataFrame:
+    """Add ``<column>_onehot``: a sparse 0/1 vector as ``size`` (the distinct non-null values),
+    ``indices`` and ``values``, whose index is the value's rank.
+
+    A null has no index set. Categories may be as many as they like: none become columns.
+    """
+    codes = dense_index(df, column, "_code")
+    size = codes.agg(F.count(F.lit(1)).alias("n")).first()["n"]
+    hit = F.col("_code").isNotNull()
+    empty_i, empty_v = F.array().cast("array<bigint>"), F.array().cast("array<double>")
+    return df.join(codes, column, "left").select(
+        *[F.col(f"`{c}`") for c in df.columns],
+        F.struct(
+            F.lit(size).cast("long").alias("size"),
+            F.when(hit, F.array("_code")).otherwise(empty_i).alias("indices"),
+            F.when(hit, F.array(F.lit(1.0))).otherwise(empty_v).alias("values"),
+        ).alias(f"{column}_onehot"))
 
 
-def encode_onehot(df: DataFrame, column: str, values: Sequence | None = None) -> DataFrame:
-    """Add one 0/1 column ``<column>_<value>`` per distinct value."""
-    values = categories(df, column) if values is None else values
+def onehot_columns(df: DataFrame, column: str, values: Sequence) -> DataFrame:
+    """Add one 0/1 column ``<column>_<value>`` for each of the named values."""
     return df.withColumns({
         f"{column}_{v}": F.coalesce((F.col(column) == F.lit(v)).cast("int"), F.lit(0))
         for v in values

@@ -169,11 +169,18 @@ SELECT event_id, event_type,
        CAST(event_type = 'error' AS INTEGER) AS event_type_error,
        CAST(event_type = 'purchase' AS INTEGER) AS event_type_purchase,
        CAST(event_type = 'signup' AS INTEGER) AS event_type_signup,
-       CAST(event_type = 'view' AS INTEGER) AS event_type_view
+       CAST(event_type = 'view' AS INTEGER) AS event_type_view,
+       (SELECT count(DISTINCT event_type) FROM events) AS size,
+       dense_rank() OVER (ORDER BY event_type) - 1 AS hot
 FROM events
 """)
 def encode_onehot(star):
-    return scale.encode_onehot(star.table("events").select("event_id", "event_type"), "event_type")
+    events = star.table("events").select("event_id", "event_type")
+    named = scale.onehot_columns(events, "event_type",
+                                 ["click", "error", "purchase", "signup", "view"])
+    return scale.encode_onehot(named, "event_type").select(
+        *named.columns, "event_type_onehot.size",
+        F.col("event_type_onehot.indices")[0].alias("hot"))
 
 
 @query("scale_standard", USER_STATS + """

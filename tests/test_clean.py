@@ -119,3 +119,14 @@ def test_sample_is_repeatable(spark):
     df = spark.range(1000).withColumnRenamed("id", "k")
     one, two = clean.sample_n(df, 50, "k"), clean.sample_n(df.repartition(7), 50, "k")
     assert rows(one) == rows(two) and one.count() == 50
+
+
+def test_onehot_vector_takes_any_number_of_values(spark):
+    from ratingloom.operators import scale
+
+    values = [f"v{i:05d}" for i in range(10_500)]
+    df = spark.createDataFrame([*((v,) for v in values), (None,)], "kind string")
+    got = {r["kind"]: r["kind_onehot"] for r in scale.encode_onehot(df, "kind").collect()}
+    assert all(got[v]["indices"] == [i] and got[v]["values"] == [1.0]
+               and got[v]["size"] == len(values) for i, v in enumerate(values))
+    assert got[None]["indices"] == []

@@ -37,14 +37,14 @@ def test_blocked_product_equals_brute_force(entries, blocks, stripes, monkeypatc
     assert got == brute_pairs(entries)
 
 
-@pytest.mark.parametrize("blocks,stripes", [(1, 1), (3, 1), (2, 2)])
-def test_best_pairs_hold_the_best(entries, blocks, stripes):
+@pytest.mark.parametrize("blocks", [1, 3, None])
+def test_best_pairs_hold_the_best(entries, blocks):
     want = {}
     for (a, b), (dot, _) in brute_pairs(entries).items():
         want.setdefault(a, []).append(dot)
         want.setdefault(b, []).append(dot)
     got = {}
-    for r in gram.gram_best(entries, 5, blocks=blocks, stripes=stripes).collect():
+    for r in gram.gram_best(entries, 5, blocks=blocks).collect():
         got.setdefault(r["a"], []).append(round(r["dot"], 6))
     for a, dots in want.items():
         assert sorted(got[a])[-5:] == sorted(dots)[-5:]
@@ -144,6 +144,34 @@ def test_fp_growth_and_apriori_agree(spark):
                          if set(a["antecedents"]) <= b)
 
 
+def test_rule_subset_join_over_more_items_than_a_word(spark):
+    rng = random.Random(6)
+    baskets = [(u, f"i{rng.randint(0, 150)}") for u in range(60) for _ in range(40)]
+    lists = [sorted({f"i{rng.randint(0, 150)}" for _ in range(rng.randint(1, 3))})
+             for _ in range(80)] + [["i1", "nowhere"], ["nowhere"]]
+    held = {}
+    for u, i in baskets:
+        held.setdefault(u, set()).add(i)
+    want = sorted((u, tuple(x)) for x in set(map(tuple, lists)) for u, b in held.items()
+                  if set(x) <= b)
+    found = rules.rule_subset_join(
+        stage(spark.createDataFrame([(x,) for x in lists], "antecedents array<string>")),
+        spark.createDataFrame(baskets, "userId long, item string"))
+    assert sorted((r["userId"], tuple(r["antecedents"])) for r in found.collect()) == want
+
+
+def test_stratified_cuts_are_exact_quantiles(spark):
+    rng = random.Random(9)
+    rows = [(rng.choice(["a", "b", None]), rng.randrange(2 ** 32)) for _ in range(500)]
+    rows += [("one", 7), ("same", 5), ("same", 5)]
+    df = spark.createDataFrame(rows, "_label string, _h long")
+    got = {r["_label"]: r["_cut"] for r in cf._cuts(df, 0.8).collect()}
+    want = {}
+    for label, h in rows:
+        want.setdefault(label, []).append(h)
+    assert got == pytest.approx({k: np.quantile(v, 0.8) for k, v in want.items()})
+
+
 def test_rule_text():
     assert rules.min_count(100, 0.1) == 10 and rules.min_count(3, 0.5) == 2
 
