@@ -59,12 +59,26 @@ def classifier_rows(star):
     return stage(labelled(train)), stage(labelled(test))
 
 
-@query("train_classifiers")
+@query("train_classifiers", "WITH " + HASHED + """
+SELECT model, count(*) FILTER (WHERE label = 1) AS positives,
+       count(*) FILTER (WHERE label = 0) AS negatives, true AS in_range
+FROM hashed, unnest(['logistic', 'random_forest', 'gradient_boost', 'svm', 'mlp']) AS m(model)
+WHERE NOT inside GROUP BY model
+""")
 def train_classifiers(star):
+    """Every model scores every test row once: the totals of the confusion tables."""
     train, test = classifier_rows(star)
     _, scored = classify.train_classifiers(train, test, SCALED, "row", trees=20, rounds=10,
                                            iterations=50)
-    return classify.binary_metrics(scored, ["model"])
+    return totals(classify.binary_metrics(scored, ["model"]), "model")
+
+
+def totals(metrics, by):
+    rates = [F.col(c).between(0, 1) for c in ("accuracy", "precision", "recall", "f1_score")]
+    return metrics.select(
+        by, (F.col("tp") + F.col("fn")).alias("positives"),
+        (F.col("fp") + F.col("tn")).alias("negatives"),
+        (rates[0] & rates[1] & rates[2] & rates[3]).alias("in_range"))
 
 
 @query("soft_voting", "WITH " + HASHED + """
@@ -191,11 +205,19 @@ def genre_labels(star):
     return wide.unpivot("movieId", [f"`{c}`" for c in wide.columns[1:]], "genre", "label")
 
 
-@query("genre_predictors")
+@query("genre_predictors", """
+WITH names AS (SELECT DISTINCT genre FROM movie_genres WHERE genre <> '(no genres listed)'),
+test AS (SELECT m.* FROM clean_movies m SEMI JOIN ratings USING ("movieId")
+         WHERE "movieId" % 2147483648 * 2654435761 % 4294967296 >= 3435973836)
+SELECT genre, count(*) FILTER (WHERE list_contains(genre_list, genre)) AS positives,
+       count(*) FILTER (WHERE NOT list_contains(genre_list, genre)) AS negatives,
+       true AS in_range
+FROM test, names GROUP BY genre
+""")
 def genre_predictors(star):
     items = features.movie_user_prefs(star.ratings)
     names = genres.genre_names(star.clean_movies)
-    return classify.genre_predictors(items, star.clean_movies, names, trees=20)[1]
+    return totals(classify.genre_predictors(items, star.clean_movies, names, trees=20)[1], "genre")
 
 
 @query("user_type_rules", """
@@ -218,6 +240,9 @@ def user_type_rules(star):
         behavior.withColumn("cluster", (F.col("total_ratings") % 7).cast("int")))
 
 
-@query("user_types")
+@query("user_types", """SELECT DISTINCT "userId", true AS clustered, true AS named FROM ratings""")
 def user_types(star):
-    return classify.user_types(stage(features.user_behavior(star.ratings)))
+    found = classify.user_types(stage(features.user_behavior(star.ratings)))
+    return found.select("userId", F.col("cluster").between(0, 4).alias("clustered"),
+                        F.col("user_type").isin("Critic", "Enthusiast", "Casual Viewer",
+                                                "Positive Rater", "Regular User").alias("named"))

@@ -47,30 +47,41 @@ def segmentation_features(star):
                        F.greatest(*prefs).alias("pref_best"))
 
 
-@query("kmeans_users")
+def clustered(labels, key, k):
+    """``id, clustered``: whether each row has one of the ``k`` clusters, which is what SQL knows."""
+    return labels.select(F.col(key).alias("id"), F.coalesce(
+        F.col("cluster").between(0, k - 1), F.lit(False)).alias("clustered"))
+
+
+def both_kinds(users, items):
+    return clustered(users, "userId", 20).withColumn("kind", F.lit("user")).unionByName(
+        clustered(items, "movieId", 50).withColumn("kind", F.lit("item")))
+
+
+@query("kmeans_users", """SELECT DISTINCT "userId" AS id, true AS clustered FROM ratings""")
 def kmeans_users(star):
-    return cluster.kmeans_users(
-        stage(cluster.segmentation_features(star.ratings, star.clean_movies)))
+    users = stage(cluster.segmentation_features(star.ratings, star.clean_movies))
+    return clustered(cluster.kmeans_users(users), "userId", 8)
 
 
-@query("kmeans_cold_start")
+@query("kmeans_cold_start", """
+SELECT DISTINCT 'user' AS kind, "userId" AS id, true AS clustered FROM ratings
+UNION ALL SELECT DISTINCT 'item', "movieId", true FROM ratings
+""")
 def kmeans_cold_start(star):
     users = stage(features.user_features(star.ratings))
     items = stage(features.movie_features(star.ratings, star.clean_movies, AS_OF_YEAR))
-    u, m = cluster.kmeans_cold_start(users, items)
-    return u.select(F.lit("user").alias("kind"), F.col("userId").alias("id"), "cluster"
-                    ).unionByName(m.select(F.lit("item").alias("kind"),
-                                           F.col("movieId").alias("id"), "cluster"))
+    return both_kinds(*cluster.kmeans_cold_start(users, items))
 
 
-@query("kmeans_cold_start_fast")
+@query("kmeans_cold_start_fast", """
+SELECT DISTINCT 'user' AS kind, "userId" AS id, true AS clustered FROM ratings
+UNION ALL SELECT DISTINCT 'item', "movieId", true FROM ratings
+""")
 def kmeans_cold_start_fast(star):
     users = stage(features.user_features_fast(star.ratings))
     items = stage(features.movie_features_fast(star.ratings, star.clean_movies))
-    u, m = cluster.kmeans_cold_start(users, items, fast=True)
-    return u.select(F.lit("user").alias("kind"), F.col("userId").alias("id"), "cluster"
-                    ).unionByName(m.select(F.lit("item").alias("kind"),
-                                           F.col("movieId").alias("id"), "cluster"))
+    return both_kinds(*cluster.kmeans_cold_start(users, items, fast=True))
 
 
 @query("assign_clusters", """
@@ -91,11 +102,14 @@ def assign_clusters(star):
     return placed.select("vec_id", "cluster")
 
 
-@query("hierarchical_two_level")
+@query("hierarchical_two_level", """
+SELECT "movieId", true AS clustered FROM movies UNION SELECT "movieId", true FROM ratings
+""")
 def hierarchical_two_level(star):
     items = stage(cluster.movie_cluster_features(star.ratings, star.clean_movies))
     columns = [c for c in items.columns if c != "movieId"]
-    return cluster.hierarchical_two_level(items, columns, "movieId")[("ward", None)]
+    labels = cluster.hierarchical_two_level(items, columns, "movieId")[("ward", None)]
+    return labels.select("movieId", (F.col("cluster") >= 1).alias("clustered"))
 
 
 @query("movie_cluster_features", """
@@ -154,11 +168,18 @@ def cluster_quality(star):
     return cluster.cluster_quality(users, ["rating_mean", "rating_std"])
 
 
-@query("compare_linkages")
+@query("compare_linkages", """
+SELECT linkage, CAST(k AS INTEGER) AS k, CAST(k AS INTEGER) AS n_clusters, true AS in_range
+FROM unnest(['ward', 'complete', 'average', 'single']) AS l(linkage),
+     unnest([5, 10, 15, 20]) AS c(k)
+""")
 def compare_linkages(star):
     items = stage(cluster.movie_cluster_features(star.ratings, star.clean_movies))
     columns = [c for c in items.columns if c != "movieId"]
-    return cluster.compare_linkages(items, columns, "movieId")
+    return cluster.compare_linkages(items, columns, "movieId").select(
+        "linkage", "k", "n_clusters",
+        (F.col("silhouette").between(-1, 1) & (F.col("davies_bouldin") >= 0)
+         & (F.col("calinski_harabasz") >= 0)).alias("in_range"))
 
 
 @query("cluster_profiles", "WITH " + SEGMENTS + """,

@@ -198,15 +198,17 @@ def tune_random(star):
     return regress.tune_random(train, test, SCALED, "rating")
 
 
-@query("sink_json_report")
+@query("sink_json_report", DESCENT + """
+SELECT 'batch' AS method, CAST(i AS INTEGER) AS iteration, loss, used AS learning_rate,
+       (SELECT min(loss) FROM run) AS best_loss, false AS converged FROM run
+ORDER BY run.loss LIMIT 20
+""", "loss learning_rate best_loss")
 def sink_json_report(star):
-    train, test = split(star)
+    """The iterations of least loss of a descent, written as JSON and read back."""
+    report = regress.convergence_trace(star.spark, {"batch": descend(star)}).drop("val_loss")
     path = scratch(star, "json")
-    files.write_json_report(regress.tune_random(train, test, SCALED, "rating", iterations=50),
-                            path)
-    return star.spark.read.schema(
-        "trial int, learning_rate double, momentum double, penalty string, strength double,"
-        " test_rmse double, iterations int").json(path)
+    files.write_json_report(report, path, "loss")
+    return star.spark.read.schema(report.schema).json(path)
 
 
 @query("batch_score", """

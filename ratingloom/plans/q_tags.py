@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import numpy as np
+from pyspark.ml.functions import array_to_vector
+from pyspark.ml.stat import Correlation
 from pyspark.sql import functions as F
 
 from ratingloom.functions.staging import stage
@@ -105,9 +108,17 @@ def tag_frequency_pivot(star):
     return wide.unpivot("movieId", [f"`{c}`" for c in wide.columns[1:]], "tag", "n")
 
 
-@query("topic_model")
+@query("topic_model", """
+SELECT "movieId", 10 AS topics, CAST(1 AS DOUBLE) AS total, true AS in_range FROM movies
+""", "total")
 def topic_model(star):
-    return tags.topic_model(star.clean_tags, star.movies)
+    """The shares of all ten topics in every item: what SQL knows is that they are shares."""
+    wide = tags.topic_model(star.clean_tags, star.movies)
+    shares = F.array(*[c for c in wide.columns if c.startswith("topic_")])
+    return wide.select(
+        "movieId", F.size(shares).alias("topics"),
+        F.aggregate(shares, F.lit(0.0), lambda a, x: a + x).alias("total"),
+        F.forall(shares, lambda x: x.between(0, 1)).alias("in_range"))
 
 
 # --- reduction and selection ------------------------------------------------------------------
@@ -158,11 +169,28 @@ def pca_report(star):
     return reduce.pca(user_table(star), ["a", "b"], k=2)[1]
 
 
-@query("pca_embeddings")
+@query("pca_embeddings", """
+WITH e AS (SELECT unnest(embedding) AS v, generate_subscripts(embedding, 1) AS i FROM embeddings)
+SELECT (SELECT count(*) FROM embeddings) AS n, sum(s) AS total_variance, true AS centred,
+       true AS uncorrelated, true AS reached, true AS needed
+FROM (SELECT var_pop(CAST(v AS DOUBLE)) AS s FROM e GROUP BY i) AS d
+""", "total_variance")
 def pca_embeddings(star):
-    """As many components of the embeddings as reach 95 % of the variance."""
-    scores, _ = reduce.pca(star.table("embeddings"), vector="embedding")
-    return scores.select("vec_id", F.posexplode("pc").alias("component", "value"))
+    """As many components of the embeddings as reach 95 % of the variance, by their properties:
+    centred, uncorrelated, of the variance the report claims, none too many."""
+    scores, report = reduce.pca(star.table("embeddings"), vector="embedding")
+    shares = [r["cumulative_variance"] for r in report.collect()]
+    last = shares[-2] if len(shares) > 1 else 0.0
+    rows = stage(scores.select("pc"))
+    # components x components numbers
+    corr = Correlation.corr(rows.select(array_to_vector("pc").alias("x")), "x").first()[0].toArray()
+    apart = bool((np.abs(corr - np.eye(len(shares))) < 1e-6).all())
+    kept = rows.select(F.posexplode("pc").alias("i", "v")).groupBy("i").agg(
+        F.count(F.lit(1)).alias("n"), F.avg("v").alias("m"), F.var_pop("v").alias("s"))
+    return kept.agg(
+        F.max("n").alias("n"), (F.sum("s") / F.lit(shares[-1])).alias("total_variance"),
+        (F.max(F.abs("m")) < 1e-6).alias("centred"), F.lit(apart).alias("uncorrelated"),
+        F.lit(shares[-1] >= 0.95).alias("reached"), F.lit(last < 0.95).alias("needed"))
 
 
 @query("truncated_svd", USERS + """,
