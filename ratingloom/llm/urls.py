@@ -12,49 +12,61 @@ from pyspark.ml.feature import HashingTF, SQLTransformer
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Labelled examples, 1 for URLs to block.
-BLOCKED = """
-http://cheap-pills.test/buy/12  https://www.cheap-meds.test/pills  http://pills-online.test/order
-http://best-pharmacy-deals.test/p/7  https://discount-pharma.test/viagra  http://shop.cheap-drugs.test/en/4
-http://casino-win.test/play  https://online-casino.test/slots/8  http://www.casino-bonus.test/en/33
-http://big-win-casino.test/poker  https://poker-jackpot.test/bet  http://blog.slots-jackpot.test/5
-http://free-bets.test/today  https://www.sports-bets.test/odds/12  http://bets-bonus.test/free
-http://betting-tips.test/free-bets  https://m.bet-now.test/en/2  http://gambling-free.test/win
-http://adult-x.test/video/9  https://www.adult-chat.test/cam  http://xxx-videos.test/watch/1
-http://adult-dating.test/en/3  https://sexy-cams.test/live  http://porn-x.test/free/22
-http://spam-farm.test/a/1  https://www.link-farm.test/seo/2  http://content-farm.test/en/781
-http://seo-spam.test/backlinks  https://spam-links.test/page/3  http://buy-links-farm.test/9
-http://ads-track.test/click?id=1  https://m.ads-serve.test/banner  http://track-ads.test/pixel/3
-http://ad-click.test/redirect  https://popup-ads.test/win  http://tracker-ads.test/t/55
-http://win-free-prize.test/claim  https://free-money.test/now  http://cheap-loans.test/fast/4
-http://crypto-win.test/double  https://free-iphone-win.test/en/5  http://hot-deals-spam.test/click
-http://malware-free.test/download  https://cracked-keys.test/free  http://phish-login.test/verify
+#: Host words and paths of the labelled URLs, by what blocklists call unwanted
+#: (drugs, gambling, adult, loans and prizes, fraud and malware, adverts, link spam) and by
+#: everyday subjects. README says how they were chosen; no URL is taken from a page.
+BLOCKED_WORDS = """
+pills pharmacy viagra cialis meds steroids tablets rx  casino poker slots roulette betting bets
+jackpot gambling  porn xxx sex adult escort nude cams webcam  loans payday credit cash prize win
+winner lottery bonus  phishing malware crack warez keygen torrent hacked serial  ads adserver
+clicks popup banner tracking tracker affiliate  spam backlinks seo linkfarm traffic cheap free
+discount replica
 """
-ALLOWED = """
-http://www.library.test/catalogue/12  https://news.daily.test/en/2024/story  http://blog.garden.test/en/31
-https://university.test/research/papers  http://museum.test/visit  https://m.weather.test/forecast/7
-http://city-council.test/services  https://recipes.test/bread.html  http://www.history.test/de/45
-https://blog.travel.test/fr/19  http://science.test/articles/physics  https://school.test/en/lessons
-http://music.test/albums/88  https://docs.software.test/guide/intro  http://www.health.test/en/advice
-https://theatre.test/programme  http://blog.therapy.test/en/5  https://m.transport.test/timetable
-http://forum.cars.test/thread/612  https://www.nature.test/es/birds  http://poetry.test/authors/a
-https://wiki.test/en/Mathematics  http://engineering.test/notes/4  https://art.test/gallery/paintings
-http://www.other.test/en/825  https://blog.these.test/en/474.html  http://thing.test/fr/65
-https://m.nation.test/en/25  http://there.test/de/412  https://www.tion.test/en/148.html
-http://blog.when.test/es/533  https://another.test/en/685  http://thin.test/en/770
-https://m.hand.test/fr/9  http://www.east.test/en/471  https://render.test/es/797
-http://sound.test/de/100  https://blog.then.test/en/777  http://thread.test/en/960
-https://www.stone.test/fr/3  http://m.onward.test/en/453  https://able.test/en/322
-http://farmers-market.test/en/6  https://academy.test/courses  http://bakery.test/about
+BLOCKED_PATHS = """
+/buy /order/now /play/{n} /bonus /join /watch/{n} /claim /apply /download/{n} /click /banner/{n}
+/redirect /free /offer/{n}
 """
+ALLOWED_WORDS = """
+library museum university school college academy research science physics chemistry biology
+mathematics history geography language poetry literature novel author press  news daily herald
+times journal gazette weather forecast radio review  garden nature forest river mountain birds
+farm fishing hiking  recipes bread kitchen bakery coffee vegetable dinner  music orchestra theatre
+gallery painting cinema dance photo  city council parliament court police hospital health clinic
+dentist doctor  software python docs guide manual forum wiki archive data computer network
+transport railway airport bicycle cars travel hotel island  football tennis chess swimming running
+family children toys books shop market furniture fashion  bank insurance law office energy
+building engineering steel house  church charity society community village club blog notes
+"""
+ALLOWED_PATHS = """
+/about /article/{n} /news/story /contact /archive/{n} /help /catalogue /lessons /authors/{n}
+"""
+#: Under hosts of either kind, three of four URLs: a plain path tells nothing about its host.
+PLAIN_PATHS = """
+/ /{n} /{n}.html /index.html /page/{n} /item/{n} /p/{n}/ /view /id/{n} /list /a/{n}.htm
+"""
+#: Hosts of each word: with the words so many places further on, so each word is in ten URLs.
+STEPS = (1, 3, 7, 12, 20)
 
 #: Parts of a URL: host after the first "://", then the path.
 AFTER = r"(?s)^.*?://"
 
 
+def composed(words: str, paths: str) -> list[str]:
+    """URLs of two words each under a reserved domain, with the paths in turn."""
+    words, paths, plain, found = words.split(), paths.split(), PLAIN_PATHS.split(), []
+    for step in STEPS:
+        for i, word in enumerate(words):
+            n = len(found)
+            name = word + ("-", "")[n % 2] + words[(i + step) % len(words)]
+            at = plain[n % len(plain)] if n % 4 else paths[n // 4 % len(paths)]
+            found.append(f"http://{name}.test" + at.format(n=n))
+    return found
+
+
 def labelled_urls(spark: SparkSession) -> DataFrame:
-    """``(url, label)``: the examples above, whose hosts are under a reserved domain."""
-    rows = [(u, 1.0) for u in BLOCKED.split()] + [(u, 0.0) for u in ALLOWED.split()]
+    """``(url, label)``: URLs made of the words above, 1 for those to block."""
+    rows = [(u, 1.0) for u in composed(BLOCKED_WORDS, BLOCKED_PATHS)]
+    rows += [(u, 0.0) for u in composed(ALLOWED_WORDS, ALLOWED_PATHS)]
     return spark.createDataFrame(rows, "url string, label double")
 
 
