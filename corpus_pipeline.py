@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ratingloom.functions.staging import shared_dir
-from ratingloom.llm import copies, decontaminate, langid, mixing, queries, sharding
+from ratingloom.llm import decontaminate, langid, mixing, queries, sharding, simhash
 
 #: A document whose predicted language has less than this share of its letters is rejected, as is
 #: one without a letter.
@@ -32,7 +32,10 @@ def numbered(docs: DataFrame) -> DataFrame:
 
 
 def language(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Documents in one learned language; the others go."""
+    """Documents in one learned language; the others go.
+
+    A null text, or one without a letter, has no language and goes. Ids play no part beyond the
+    choice of training rows; equal rows are judged alike; an empty table gives an empty one."""
     model = langid.train(docs.filter(~langid.held_out(F.col("doc_id"))))
     return langid.accepted(docs, model, LEAST_LANGUAGE_SHARE)
 
@@ -40,15 +43,20 @@ def language(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """One document of each group of near-duplicates, the one of the smallest id (null first).
 
-    Linked are texts whose 5-word shingles have a Jaccard similarity of 0.8 or more."""
+    Linked are texts whose SimHash fingerprints of 4-word shingles differ in 4 bits or fewer, as in
+    ``op1_simhash``. Null texts and texts without words are one group; of equal rows one stays; an
+    empty table gives an empty one."""
     rows = numbered(docs)
-    more = (copies.near_copies(rows.select("row", "doc.text"), id_col="row")
+    more = (simhash.near_duplicates(rows.select("row", "doc.text"), id_col="row")
             .filter("row <> component_id").select("row"))
     return rows.join(more, "row", "left_anti").select("doc.*")
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Documents that no benchmark passage contaminates."""
+    """Documents that no benchmark passage contaminates.
+
+    Null and empty texts stay, as do all if the benchmark is empty; rows of equal or null id are
+    judged one by one; an empty table gives an empty one."""
     rows = numbered(docs)
     found = decontaminate.contamination(
         rows.select(F.col("row").alias("at"), "doc.text"), queries.table(spark, folder, "benchmark"),
@@ -58,7 +66,10 @@ def decontamination(spark: SparkSession, docs: DataFrame, folder: str) -> DataFr
 
 
 def mixture(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Every document as often as the mix takes it."""
+    """Every document as often as the mix takes it.
+
+    Null and empty texts have size 0 and are not taken. A null source is a source. Rows of equal id
+    draw the same number; ties go by size, then row. An empty table gives an empty one."""
     rows = numbered(docs)
     parts = rows.select("row", "doc.doc_id", "doc.text", "doc.source")
     taken = mixing.mix(parts, id_col="row", random_col="doc_id").filter("copies > 0")
@@ -67,7 +78,7 @@ def mixture(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 
 
 def shards(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Shard and place of every document of the mix."""
+    """Shard and place of every document of the mix; null ids, null texts and equal rows included."""
     return sharding.shard_rows(docs, queries.SHARDS)
 
 
