@@ -325,72 +325,6 @@ def test_pipeline_against_its_operators(spark, docs):
     assert pipeline.run(spark, SMALL).count() > 0
 
 
-def shingle_sets(texts, size=5):
-    words = [(t or "").lower().split() for t in texts]
-    return [{tuple(w[i:i + size]) for i in range(max(1, len(w) - size + 1))} if w else set() for w in words]
-
-
-def brute_copies(texts, least=0.8):
-    sets, label = shingle_sets(texts), list(range(len(texts)))
-    for i in range(len(texts)):
-        for j in range(i):
-            if len(sets[i] & sets[j]) >= least * len(sets[i] | sets[j]):
-                low, high = sorted((label[i], label[j]))
-                label = [low if x == high else x for x in label]
-    return label
-
-
-def test_near_copies_between_08_and_095(spark, tmp_path):
-    import corpus_pipeline as pipeline
-    from ratingloom.llm import copies
-
-    rnd = random.Random(3)
-    made = []
-    for _ in range(12):
-        first = [f"w{rnd.randrange(10 ** 6)}" for _ in range(200)]
-        made.append(" ".join(first))
-        for changes in (1, 3, 4, 6, 9):  # similarity about 0.95, 0.86, 0.82, 0.74, 0.63
-            near = list(first)
-            for at in rnd.sample(range(5, 195), changes):
-                near[at] = f"w{rnd.randrange(10 ** 6)}"
-            made.append(" ".join(near))
-    for _ in range(4):  # chains: each like its neighbours only
-        text = [f"w{rnd.randrange(10 ** 6)}" for _ in range(120)]
-        for _ in range(8):
-            made.append(" ".join(text))
-            text = text[9:] + [f"w{rnd.randrange(10 ** 6)}" for _ in range(9)]
-    made += [None, "", " ", "a b", "A  b"]
-    sets, want = shingle_sets(made), brute_copies(made)
-    between = [(i, j) for i in range(len(made)) for j in range(i)
-               if 0.8 <= len(sets[i] & sets[j]) / max(1, len(sets[i] | sets[j])) <= 0.95]
-    assert len(between) > 40
-    df = spark.createDataFrame(list(enumerate(made)), "doc_id long, text string")
-    got = {r.doc_id: r.component_id for r in copies.near_copies(df).collect()}
-    assert [got[i] for i in range(len(made))] == want
-    df.write.parquet(f"{tmp_path}/docs")
-    kept = pipeline.near_duplicates(spark, spark.read.parquet(f"{tmp_path}/docs"), None).collect()
-    assert sorted(r.doc_id for r in kept) == sorted(set(want))
-
-
-@pytest.mark.parametrize("bands", [1, 3])
-def test_candidates_their_leader_is_not_like_are_compared(spark, bands):
-    """With minima that nearly all texts share, one value holds texts of many components."""
-    from ratingloom.llm import copies
-
-    rnd = random.Random(8)
-    base = [f"b{i}" for i in range(60)]
-    made = []
-    for _ in range(40):
-        own = [f"w{rnd.randrange(10 ** 6)}" for _ in range(40)]
-        made += [" ".join(base + own), " ".join(base + own[:-1])]
-    df = spark.createDataFrame(list(enumerate(made)), "doc_id long, text string")
-    got = {r.doc_id: r.component_id for r in copies.near_copies(df, bands=bands, rows=1).collect()}
-    sets = shingle_sets(made)
-    assert all(len(sets[i] & sets[i + 1]) >= 0.8 * len(sets[i] | sets[i + 1]) for i in range(0, 80, 2))
-    linked = sum(got[i] == got[i + 1] for i in range(0, 80, 2))
-    assert linked >= (30 if bands == 1 else 39) and all(got[i] in (i, i - i % 2) for i in got)
-
-
 def test_rows_keep_their_names_when_a_rescan_is_split_differently(spark, docs, tmp_path):
     import corpus_pipeline as pipeline
     from ratingloom.llm import decontaminate
