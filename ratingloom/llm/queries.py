@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ratingloom.llm import (
-    decontaminate, html, langid, mixing, quality, sharding, simhash, tokens, urls, windows,
+    audit, decontaminate, html, langid, mixing, quality, sharding, simhash, tokens, urls, windows,
 )
 
 SHARDS = 40
@@ -80,9 +80,14 @@ def op10_urls(spark: SparkSession, folder: str) -> DataFrame:
     return urls.judge(table(spark, folder, "pages"), urls.fit(urls.labelled_urls(spark)), URL_RULES)
 
 
+def op12_audit(spark: SparkSession, folder: str) -> DataFrame:
+    return audit.audit(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_simhash, op2_quality, op3_mix, op4_html, op5_passages, op6_language, op7_decontaminate, op8_slots, op9_tokens, op10_urls)
+        op1_simhash, op2_quality, op3_mix, op4_html, op5_passages, op6_language, op7_decontaminate, op8_slots, op9_tokens, op10_urls,
+        op12_audit)
 }
 
 ORACLES: dict[str, str] = {
@@ -127,5 +132,47 @@ taken AS (
 SELECT doc_id, size, source_size, target, (whole + extra)::INTEGER AS copies,
        ((whole + extra) * size)::BIGINT AS taken
 FROM taken
+""",
+    "op12_audit": r"""
+WITH filters AS (SELECT unnest(['A','B','C','D','E']) AS f, unnest([1,2,4,8,16]) AS bit),
+orders AS (
+  SELECT a.f || b.f || c.f || d.f || e.f AS filter_order
+  FROM filters a, filters b, filters c, filters d, filters e
+  WHERE a.bit + b.bit + c.bit + d.bit + e.bit = 31
+    AND a.bit | b.bit | c.bit | d.bit | e.bit = 31),
+steps AS (
+  SELECT filter_order, step, substr(filter_order, step, 1) AS f,
+         (SELECT bit FROM filters WHERE f = substr(filter_order, step, 1)) AS bit,
+         coalesce((SELECT sum(bit) FROM filters
+                   WHERE contains(substr(filter_order, 1, step - 1), f)), 0)::INTEGER AS before
+  FROM orders, (SELECT unnest([1,2,3,4,5]) AS step)),
+texts AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+firsts AS (SELECT *, min(doc_id) OVER (PARTITION BY t) AS first FROM texts),
+marks AS (
+  SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic
+  FROM labels GROUP BY doc_id),
+masks AS (
+  SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+         (len(w) < 200)::INT + 2 * (100 * len(list_distinct(w)) < 50 * len(w))::INT
+         + 4 * (100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 2 * length(t))::INT
+         + 8 * regexp_matches(t, '[#$%&*|]')::INT
+         + 16 * coalesce(d.doc_id > first, false)::INT AS mask
+  FROM firsts d LEFT JOIN marks m ON d.doc_id = m.doc_id),
+cells AS (SELECT part, mask, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM masks GROUP BY ALL),
+counted AS (
+  SELECT part, filter_order, step, f,
+         sum(CASE WHEN mask & (before | bit) = 0 THEN n ELSE 0 END)::BIGINT AS kept,
+         sum(CASE WHEN mask & before = 0 AND mask & bit > 0 THEN n ELSE 0 END)::BIGINT AS removed,
+         sum(CASE WHEN mask & before > 0 AND mask & bit > 0 THEN n ELSE 0 END)::BIGINT AS redundant,
+         sum(CASE WHEN mask = bit THEN n ELSE 0 END)::BIGINT AS unique_fails,
+         sum(CASE WHEN mask & before = 0 AND mask & bit > 0 THEN good ELSE 0 END)::BIGINT AS good_lost,
+         sum(CASE WHEN mask & before = 0 AND mask & bit > 0 THEN toxic ELSE 0 END)::BIGINT AS toxic_lost
+  FROM cells, steps GROUP BY ALL)
+SELECT part, filter_order, step::INTEGER AS step, kept, removed, redundant, unique_fails, good_lost,
+       toxic_lost, sum(removed) OVER (PARTITION BY part, f)::BIGINT AS shapley
+FROM counted
 """,
 }
