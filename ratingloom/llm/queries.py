@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ratingloom.llm import (
-    audit, decontaminate, html, langid, mixing, quality, sharding, simhash, tokens, urls, windows,
+    audit, decontaminate, html, langid, mixing, phrases, quality, sharding, simhash, tokens, urls, windows,
 )
 
 SHARDS = 40
@@ -80,6 +80,10 @@ def op10_urls(spark: SparkSession, folder: str) -> DataFrame:
     return urls.judge(table(spark, folder, "pages"), urls.fit(urls.labelled_urls(spark)), URL_RULES)
 
 
+def op11_phrases(spark: SparkSession, folder: str) -> DataFrame:
+    return phrases.collocations(table(spark, folder, "documents"))
+
+
 def op12_audit(spark: SparkSession, folder: str) -> DataFrame:
     return audit.audit(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
@@ -87,7 +91,7 @@ def op12_audit(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_simhash, op2_quality, op3_mix, op4_html, op5_passages, op6_language, op7_decontaminate, op8_slots, op9_tokens, op10_urls,
-        op12_audit)
+        op11_phrases, op12_audit)
 }
 
 ORACLES: dict[str, str] = {
@@ -132,6 +136,41 @@ taken AS (
 SELECT doc_id, size, source_size, target, (whole + extra)::INTEGER AS copies,
        ((whole + extra) * size)::BIGINT AS taken
 FROM taken
+""",
+    "op11_phrases": r"""
+WITH texts AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
+  FROM documents),
+pieces AS (SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) AS p FROM texts),
+words AS (SELECT lang, regexp_extract_all(p, '[^\x20\x09]+') AS w FROM pieces),
+sizes AS (SELECT lang, sum(len(w))::BIGINT AS n FROM words GROUP BY lang),
+grams AS (
+  SELECT lang, k, unnest([array_to_string(w[i:i + k - 1], ' ') FOR i IN range(1, len(w) - k + 2)]) AS phrase
+  FROM words, (SELECT unnest([1, 2, 3, 4]) AS k)),
+found AS (SELECT lang, k, phrase, count(*) AS a FROM grams GROUP BY ALL HAVING count(*) >= 30),
+cuts AS (
+  SELECT f.lang, f.phrase, f.a, cut, array_to_string(w[1:cut], ' ') AS first, array_to_string(w[cut + 1:], ' ') AS rest
+  FROM (SELECT *, string_split(phrase, ' ') AS w FROM found WHERE k > 1) f, (SELECT unnest([1, 2, 3]) AS cut)
+  WHERE cut < k),
+scores AS (
+  SELECT c.*, l.a AS l, r.a AS r, ((2000000::HUGEINT * c.a) // (l.a::HUGEINT + r.a))::BIGINT AS score
+  FROM cuts c JOIN found l ON l.lang = c.lang AND l.phrase = c.first
+  JOIN found r ON r.lang = c.lang AND r.phrase = c.rest),
+worst AS (
+  SELECT * FROM scores QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+inner_ AS (
+  SELECT lang, phrase, max(a) AS top FROM (
+    SELECT lang, a, unnest([array_to_string(w[i:i + s - 1], ' ') FOR i IN range(1, k - s + 2)]) AS phrase
+    FROM (SELECT *, string_split(phrase, ' ') AS w FROM found WHERE k > 2), (SELECT unnest([2, 3]) AS s)
+    WHERE s < k) GROUP BY ALL),
+kept AS (
+  SELECT w.* FROM worst w LEFT JOIN inner_ i ON i.lang = w.lang AND i.phrase = w.phrase
+  WHERE i.top IS NULL OR 100::HUGEINT * i.top < 80::HUGEINT * w.a)
+SELECT k.lang, row_number() OVER (PARTITION BY k.lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase,
+       a, l, r, n, score
+FROM kept k JOIN sizes s ON s.lang = k.lang
+QUALIFY rank <= 2000
 """,
     "op12_audit": r"""
 WITH filters AS (SELECT unnest(['A','B','C','D','E']) AS f, unnest([1,2,4,8,16]) AS bit),
