@@ -4,8 +4,10 @@ The corpus is dealt into a few shards. A phrase that is frequent in the whole co
 some shard at support lowered to the shard's share of the words, so each shard is mined completely
 at that support, level by level: a phrase is counted only where both phrases one word shorter are
 locally frequent. The union of what the shards find is a set of bits of fixed size, from hashes of
-the phrases; phrases that share a bit by chance are only counted for nothing. One more pass counts
-every phrase of the union over the whole corpus, by its words, and keeps the frequent ones.
+the phrases; phrases that share a bit by chance are only counted for nothing. Words that are in no
+phrase of the union become breaks, and what is left is written as numbers for the other levels. One
+more pass counts every phrase of the union over the whole corpus, by its words, and keeps the
+frequent ones.
 
 A shard is as many tasks as its size asks for: tasks count blocks of text in arrays, Spark adds the
 counts up. With more shards than support / 2 the local support would be one and mine everything, so
@@ -32,7 +34,7 @@ TABLE = 1 << 20
 BLOCK = 1_500_000
 
 #: Hashes of words remembered in a task.
-REMEMBERED = 1_000_000
+REMEMBERED = 300_000
 
 #: Lowers A-Z, and turns what ends a piece (.,;:!? and 0x0A to 0x0D) into line ends.
 PIECES = bytes(c + 32 if 0x41 <= c <= 0x5A else 0x0A if c in b".,;:!?\n\x0b\x0c\r" else c for c in range(256))
@@ -52,10 +54,10 @@ def pieces(text: bytes | None) -> list[bytes]:
 
 
 class Hashes(dict):
-    """64-bit hashes of words, none zero; the break's is zero."""
+    """32-bit hashes of words, none zero; the break's is zero."""
 
     def __missing__(self, word: bytes) -> int:
-        value = (xxhash.xxh3_64_intdigest(word, SEED) or 1) if word else 0
+        value = (xxhash.xxh32_intdigest(word, SEED) or 1) if word else 0
         self[word] = value
         return value
 
@@ -83,53 +85,97 @@ def known(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return (bits >> (keys & np.uint64(63)) & np.uint64(1)).astype(bool)
 
 
-def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, int, list[bytes]]]:
-    """``(lang, shard, words)`` of many documents together; a task holds ``BLOCK`` words and a text."""
-    open_: dict[tuple[str, int], list[bytes]] = {}
+def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, list[bytes]]]:
+    """``(group, words)`` of many documents together; a task holds ``BLOCK`` words and a text.
+
+    The first column is the text, the others are the group."""
+    open_: dict[tuple, list[bytes]] = {}
     held = 0
     for batch in batches:
-        langs, shards = batch.column(1).to_pylist(), batch.column(2).to_pylist()
-        for lang, shard, text in zip(langs, shards, utf8(batch.column(0))):
+        groups = zip(*(column.to_pylist() for column in batch.columns[1:]))
+        for group, text in zip(groups, utf8(batch.column(0))):
             words = pieces(text)
-            open_.setdefault((lang, shard), []).extend(words)
+            open_.setdefault(group, []).extend(words)
             held += len(words)
             if held >= BLOCK:
-                yield from ((*group, words) for group, words in open_.items())
+                yield from open_.items()
                 open_, held = {}, 0
-    yield from ((*group, words) for group, words in open_.items())
+    yield from open_.items()
+
+
+def hashed(words: list[bytes], hashes: Hashes) -> np.ndarray:
+    if len(hashes) > REMEMBERED:
+        hashes.clear()
+    return np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
 
 
 def seeded(lang: str) -> np.uint64:
     return np.uint64(xxhash.xxh3_64_intdigest(lang.encode(), SEED))
 
 
-def level(docs: DataFrame, size: int, table: np.ndarray | None) -> DataFrame:
-    """``(lang, shard, key, n)``: counts of the phrases of ``size`` words, as tasks found them.
+def counts(group: tuple[str, int], keys: np.ndarray) -> pa.RecordBatch:
+    keys, n = np.unique(keys, return_counts=True)
+    lang, shard = group
+    return pa.RecordBatch.from_arrays(
+        [pa.array([lang] * len(keys), pa.string()), pa.array(np.full(len(keys), shard, np.int32)),
+         pa.array(keys.view(np.int64)), pa.array(n.astype(np.int64))], ["lang", "shard", "key", "n"])
 
-    Only phrases whose two parts one word shorter are in ``table`` are counted."""
-    shared = docs.sparkSession.sparkContext.broadcast(table) if size > 1 else None
+
+COUNTS = "lang string, shard int, key long, n long"
+
+
+def word_level(docs: DataFrame) -> DataFrame:
+    """``(lang, shard, key, n)``: counts of words, as tasks found them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = Hashes()
+        for group, words in blocks(batches):
+            h = hashed(words, hashes)
+            yield counts(group, mixed(h[h > 0] ^ seeded(group[0])))
+
+    return docs.mapInArrow(run, COUNTS)
+
+
+def encoded(docs: DataFrame, table: np.ndarray) -> DataFrame:
+    """``(lang, shard, words)``: hashes of the words of many texts; one zero where others stood."""
+    shared = docs.sparkSession.sparkContext.broadcast(table)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = Hashes()
-        for lang, shard, words in blocks(batches):
-            if len(hashes) > REMEMBERED:
-                hashes.clear()
-            h = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
-            own, whole, part = h, h > 0, None
-            for k in range(2, size + 1):
-                part = own, whole
-                own = longer(own, h[k - 1:])
-                whole = whole[:len(own)] & (h[k - 1:] > 0)
-            seed = seeded(lang)
-            if part is not None:
-                fit = known(shared.value, mixed(part[0] ^ seed)) & part[1]
-                whole = whole & fit[:len(own)] & fit[1:len(own) + 1]
-            keys, n = np.unique(mixed(own[whole] ^ seed), return_counts=True)
+        for group, words in blocks(batches):
+            h = hashed(words, hashes)
+            h[~known(shared.value, mixed(h ^ seeded(group[0])))] = 0
+            h = h[(h > 0) | np.r_[True, h[:-1] > 0]]
+            lists = pa.ListArray.from_arrays(pa.array([0, len(h)], pa.int32()),
+                                             pa.array(h.astype(np.uint32).view(np.int32)))
             yield pa.RecordBatch.from_arrays(
-                [pa.array([lang] * len(keys)).cast(pa.string()), pa.array(np.full(len(keys), shard, np.int32)),
-                 pa.array(keys.view(np.int64)), pa.array(n.astype(np.int64))], ["lang", "shard", "key", "n"])
+                [pa.array([group[0]], pa.string()), pa.array([group[1]], pa.int32()), lists],
+                ["lang", "shard", "words"])
+
+    return docs.mapInArrow(run, "lang string, shard int, words array<int>")
+
+
+def level(texts: DataFrame, size: int, table: np.ndarray) -> DataFrame:
+    """``(lang, shard, key, n)``: counts of the phrases of ``size`` words, as tasks found them.
+
+    Only phrases whose two parts one word shorter are in ``table`` are counted."""
+    shared = texts.sparkSession.sparkContext.broadcast(table)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                group = batch.column(0)[i].as_py(), batch.column(1)[i].as_py()
+                h = batch.column(2)[i].values.to_numpy().view(np.uint32).astype(np.uint64)
+                key, whole, seed = h, h > 0, seeded(group[0])
+                for k in range(2, size):
+                    key = longer(key, h[k - 1:])
+                    whole = whole[:len(key)] & (h[k - 1:] > 0)
+                if size > 2:
+                    whole &= known(shared.value, mixed(key ^ seed))
+                whole = whole[:-1] & whole[1:]
+                yield counts(group, mixed(longer(key, h[size - 1:])[whole] ^ seed))
 
-    return docs.mapInArrow(run, "lang string, shard int, key long, n long")
+    return texts.mapInArrow(run, COUNTS)
 
 
 def with_bits(table: np.ndarray, keys: DataFrame) -> np.ndarray:
@@ -149,10 +195,8 @@ def counted(docs: DataFrame, most: int, table: np.ndarray) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = Hashes()
-        for lang, _, words in blocks(batches):
-            if len(hashes) > REMEMBERED:
-                hashes.clear()
-            h = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
+        for (lang,), words in blocks(batches):
+            h = hashed(words, hashes)
             numbers = Numbers()
             word = np.fromiter(map(numbers.__getitem__, words), np.int64, len(words))
             seed, key, name = seeded(lang), h, word
@@ -179,19 +223,18 @@ def counted(docs: DataFrame, most: int, table: np.ndarray) -> DataFrame:
 
 def frequent(docs: DataFrame, most: int, support: int, shards: int) -> tuple[DataFrame, DataFrame]:
     """``(lang, phrase, k, a)`` of all phrases up to ``most`` words with ``support``; ``(lang, n)``."""
-    table, size = np.zeros(TABLE, np.uint64), None
-    for k in range(1, most + 1):
-        local = level(docs, k, table).groupBy("lang", "shard", "key").agg(F.sum("n").alias("n"))
-        if k == 1:
-            local = stage(local)
-            parts = local.groupBy("lang", "shard").agg(F.sum("n").alias("words"))
-            size = stage(parts.groupBy("lang").agg(F.sum("words").alias("n")))
-            # A phrase below this support in every shard is below the whole's in all together.
-            least = stage(parts.join(size, "lang").select(
-                "lang", "shard", F.ceil(exact("words") * support / exact("n")).cast("long").alias("least")))
-        # One row for each shard of a language.
-        table = with_bits(table, local.join(F.broadcast(least), ["lang", "shard"]).filter("n >= least"))
-    found = counted(docs, most, table).groupBy("lang", "phrase", "k").agg(F.sum("n").alias("a"))
+    local = stage(word_level(docs).groupBy("lang", "shard", "key").agg(F.sum("n").alias("n")))
+    parts = local.groupBy("lang", "shard").agg(F.sum("n").alias("words"))
+    size = stage(parts.groupBy("lang").agg(F.sum("words").alias("n")))
+    # Below this support in every shard a phrase is below the whole's in all together. A row a shard.
+    least = F.broadcast(stage(parts.join(size, "lang").select(
+        "lang", "shard", F.ceil(exact("words") * support / exact("n")).cast("long").alias("least"))))
+    table = with_bits(np.zeros(TABLE, np.uint64), local.join(least, ["lang", "shard"]).filter("n >= least"))
+    texts = stage(encoded(docs, table))
+    for k in range(2, most + 1):
+        local = level(texts, k, table).groupBy("lang", "shard", "key").agg(F.sum("n").alias("n"))
+        table = with_bits(table, local.join(least, ["lang", "shard"]).filter("n >= least"))
+    found = counted(docs.drop("shard"), most, table).groupBy("lang", "phrase", "k").agg(F.sum("n").alias("a"))
     return stage(found.filter(F.col("a") >= support)), size
 
 
@@ -235,7 +278,7 @@ def leading(rows: DataFrame, group: str, order: list[Column], most: int) -> Data
 
 
 def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", most: int = 4, support: int = 30,
-                 inside: int = 80, top: int | None = 2000, shards: int = 4) -> DataFrame:
+                 inside: int = 80, top: int | None = 2000, shards: int = 2) -> DataFrame:
     """``lang, rank, phrase, a, l, r, n, score``: the best collocations of each language.
 
     Phrases have 2 to ``most`` words and ``support`` occurrences ``a`` inside pieces. ``score`` is the

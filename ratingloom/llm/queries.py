@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ratingloom.llm import (
-    audit, decontaminate, html, langid, mixing, phrases, quality, sharding, simhash, tokens, urls, windows,
+    audit, decontaminate, html, jaccard, langid, mixing, phrases, quality, sharding, simhash, tokens,
+    urls, windows,
 )
 
 SHARDS = 40
@@ -88,10 +89,14 @@ def op12_audit(spark: SparkSession, folder: str) -> DataFrame:
     return audit.audit(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op13_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.jaccard_join(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_simhash, op2_quality, op3_mix, op4_html, op5_passages, op6_language, op7_decontaminate, op8_slots, op9_tokens, op10_urls,
-        op11_phrases, op12_audit)
+        op11_phrases, op12_audit, op13_jaccard)
 }
 
 ORACLES: dict[str, str] = {
