@@ -3,15 +3,14 @@
 Two sets of similarity s share one of their first n - ceil(s n) + 1 shingles in any order that all
 sets keep to, so a tile holds the sets that have one shingle among their first. Shingles that are
 common somewhere come last in that order, which keeps a passage of many texts out of the tiles of
-texts that are otherwise unlike. Tiles are read as sorted streams:
+texts that are otherwise unlike. Of tiles with the same sets one is kept.
 
-1. Every set is paired with the first of its tile. A group of alike texts is linked by that.
-2. Tiles whose sets are still in more than one component are cut into bands of set size. Each set
-   has a bitmap signature, as wide as its band asks for: bit i is the parity of its shingles that
-   hash to i. The bits in which two signatures differ are a lower bound of the shingles that only
-   one of them has, so they bound the overlap from above. Pairs of different components that may
-   reach the similarity, by size and by bits, go on, a few of each set and more in every round,
-   until a round has left none out.
+A tile is cut into bands of set size. Each set has a bitmap signature, as wide as its band asks for:
+bit i is the parity of its shingles that hash to i. The bits in which two signatures differ are a
+lower bound of the shingles that only one of them has, so they bound the overlap from above. Pairs
+of different components that may reach the similarity, by size and by bits, go on: a few for each set
+in the first round, which link a group of alike texts, and more in every further one, until a round
+has left none out.
 
 Every pair is decided by the intersection of the sorted arrays of shingles. Equal texts are one text
 throughout; shingles are 64-bit hashes, and texts are named by 64-bit hashes.
@@ -46,7 +45,7 @@ REMEMBERED = 200_000
 NARROW, WIDE = 64, 2048
 
 #: Partners a set is given in the first round, and how many times more in each further one.
-PARTNERS, MORE = 4, 8
+PARTNERS, MORE = 4, 16
 
 
 class Hashes(dict):
@@ -80,40 +79,69 @@ def bucket_of(shingles: np.ndarray) -> np.ndarray:
     return (shingles >> np.uint64(42)).astype(np.int64)
 
 
+def signature(shingles: np.ndarray) -> bytes:
+    """Parities of the shingles by their low bits, as many as the size asks for."""
+    bits = NARROW
+    while bits < min(len(shingles), WIDE):
+        bits *= 2
+    odd = np.bincount((shingles & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8)).tobytes()
+
+
+def differing(one: np.ndarray, others: np.ndarray) -> np.ndarray:
+    """Bits in which a signature differs from each of others, the wider ones folded."""
+    while others.shape[1] > len(one):
+        half = others.shape[1] // 2
+        others = others[:, :half] ^ others[:, half:]
+    while len(one) > others.shape[1]:
+        half = len(one) // 2
+        one = one[:half] ^ one[half:]
+    return np.bitwise_count(others ^ one).sum(axis=1, dtype=np.int64)
+
+
+def may_link(n, m, bits, percent: int):
+    """Whether sets of ``n`` and ``m`` that differ in at least ``bits`` shingles can be linked."""
+    overlap = np.minimum((n + m - bits) // 2, np.minimum(n, m))
+    return 100 * overlap >= percent * (n + m - overlap)
+
+
 def marked(docs: DataFrame, words: int) -> DataFrame:
-    """``(id, key, n, bucket)``: a row for every document, without key if it has no words; and a row
-    ``(null, null, texts, bucket)`` for every bucket of shingles that a task finds common."""
-    kind = docs.schema["id"].dataType.simpleString()
+    """``(id, key, n, bits, bucket)``: a row for every document, without key if it has no words, the
+    signature only where a task meets the text first; and a row with ``n`` texts for every ``bucket``
+    of shingles that a task finds common."""
+    kind, names = docs.schema["id"].dataType.simpleString(), ["id", "key", "n", "bits", "bucket"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, sizes = Hashes(), {}
         load, some = np.zeros(BUCKETS, np.int32), None
         for batch in batches:
-            keys, n, found = [], [], []
+            keys, n, bits, found = [], [], [], []
             for text in utf8(batch.column(1)):
-                name = text_name(text) if text else 0
+                name, mark = text_name(text) if text else 0, None
                 if name not in sizes:
                     if len(sizes) > REMEMBERED:
                         sizes.clear()
                     own = shingle_set(spaced_words(text), words, hashes)
                     sizes[name] = len(own)
                     found.append(bucket_of(own))
+                    mark = signature(own) if len(own) else None
                 n.append(sizes[name])
+                bits.append(mark)
                 keys.append(name if n[-1] else None)
             if found:
                 np.add.at(load, np.concatenate(found), 1)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(keys, pa.int64()), pa.array(n, pa.int64()),
-                 pa.nulls(len(n), pa.int32())], ["id", "key", "n", "bucket"])
+                 pa.array(bits, pa.binary()), pa.nulls(len(n), pa.int32())], names)
             some = batch
         if some is not None:
             common = np.flatnonzero(load >= max(COMMON_TEXTS, 4 * load.mean()))
             yield pa.RecordBatch.from_arrays(
                 [pa.nulls(len(common), some.column(0).type), pa.nulls(len(common), pa.int64()),
-                 pa.array(load[common].astype(np.int64)), pa.array(common.astype(np.int32))],
-                ["id", "key", "n", "bucket"])
+                 pa.array(load[common].astype(np.int64)), pa.nulls(len(common), pa.binary()),
+                 pa.array(common.astype(np.int32))], names)
 
-    return docs.mapInArrow(run, f"id {kind}, key long, n long, bucket int")
+    return docs.mapInArrow(run, f"id {kind}, key long, n long, bits binary, bucket int")
 
 
 def common_buckets(marks: DataFrame) -> np.ndarray:
@@ -162,74 +190,35 @@ def tokens(docs: DataFrame, words: int, percent: int, common: np.ndarray) -> Dat
 
 
 def tiles(found: DataFrame) -> DataFrame:
-    """``(token, key, lead)``: tokens of more than one text, each text once, with the first of them."""
+    """``(token, key)``: tokens of more than one text, each text once; one token for equal tiles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        token, key = np.empty(0, np.int64), np.empty(0, np.int64)
-        lead = None  # of the token that the rows so far end with, once it has several texts
-
-        def shared(ended: bool):
-            nonlocal token, key, lead
+        token, key, written = np.empty(0, np.int64), np.empty(0, np.int64), False
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            # The last row so far is looked at again, with its neighbour.
+            token = np.concatenate([token, batch.column(0).to_numpy()])
+            key = np.concatenate([key, batch.column(1).to_numpy()])
             new = np.r_[True, (token[1:] != token[:-1]) | (key[1:] != key[:-1])]
             token, key = token[new], key[new]
-            opens = np.r_[True, token[1:] != token[:-1]]
-            first = key[np.maximum.accumulate(np.where(opens, np.arange(len(key)), 0))]
-            if lead is not None and len(token) and token[0] == lead[0]:
-                first[token == lead[0]] = lead[1]
-            several = ~opens | np.r_[~opens[1:], False]
-            if lead is not None and len(token) and token[0] == lead[0]:
-                several[0] = True
-            rows = slice(0, len(key) if ended else -1)  # the last row waits for its neighbour
-            out = [pa.array(x[rows][several[rows]]) for x in (token, key, first)]
-            if not ended:
-                # The row that waits was written if its token has several texts and is dropped as equal.
-                if len(key) > 1 and not opens[-1] or lead is not None and token[-1] == lead[0]:
-                    lead = token[-1], first[-1]
-                else:
-                    lead = None
-                token, key = token[-1:], key[-1:]
-            return pa.RecordBatch.from_arrays(out, ["token", "key", "lead"])
+            same = token[1:] == token[:-1]
+            several = np.r_[False, same] | np.r_[same, False]
+            out = several & ~np.r_[written, np.zeros(len(same), bool)]
+            yield pa.RecordBatch.from_arrays([pa.array(token[out]), pa.array(key[out])], ["token", "key"])
+            written = bool(several[-1]) or len(token) == 1 and written
+            token, key = token[-1:], key[-1:]
 
-        for batch in batches:
-            if batch.num_rows:
-                token = np.concatenate([token, batch.column(0).to_numpy()])
-                key = np.concatenate([key, batch.column(1).to_numpy()])
-                yield shared(False)
-        if len(token):
-            yield shared(True)
-
-    return (found.repartition("token").sortWithinPartitions("token", "key")
-            .mapInArrow(run, "token long, key long, lead long"))
-
-
-def signature(shingles: np.ndarray) -> bytes:
-    """Parities of the shingles by their low bits, as many as the size asks for."""
-    bits = NARROW
-    while bits < min(len(shingles), WIDE):
-        bits *= 2
-    odd = np.bincount((shingles & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
-    return np.packbits(odd.astype(np.uint8)).tobytes()
-
-
-def differing(one: np.ndarray, others: np.ndarray) -> np.ndarray:
-    """Bits in which a signature differs from each of others, the wider ones folded."""
-    while others.shape[1] > len(one):
-        half = others.shape[1] // 2
-        others = others[:, :half] ^ others[:, half:]
-    while len(one) > others.shape[1]:
-        half = len(one) // 2
-        one = one[:half] ^ one[half:]
-    return np.bitwise_count(others ^ one).sum(axis=1, dtype=np.int64)
-
-
-def may_link(n, m, bits, percent: int):
-    """Whether sets of ``n`` and ``m`` that differ in at least ``bits`` shingles can be linked."""
-    overlap = np.minimum((n + m - bits) // 2, np.minimum(n, m))
-    return 100 * overlap >= percent * (n + m - overlap)
+    shared = stage(found.repartition("token").sortWithinPartitions("token", "key")
+                   .mapInArrow(run, "token long, key long"))
+    alike = shared.groupBy("token").agg(F.bit_xor(F.xxhash64("key")).alias("x"), F.count("*").alias("n"),
+                                        F.bit_xor(F.xxhash64(F.lit(1), "key")).alias("y"))
+    first = alike.groupBy("x", "y", "n").agg(F.min("token").alias("token")).select("token")
+    return shared.join(first, "token", "left_semi")
 
 
 def members(docs: DataFrame, words: int, wanted: DataFrame) -> DataFrame:
-    """``(key, n, bits, shingles)`` of the texts whose key is in ``wanted``, each once.
+    """``(key, shingles)`` of the texts whose key is in ``wanted``, each once, the shingles ascending.
 
     A table of bits keeps most others from being cut into words; the join is what decides."""
     shared = docs.sparkSession.sparkContext.broadcast(key_table(wanted))
@@ -250,11 +239,9 @@ def members(docs: DataFrame, words: int, wanted: DataFrame) -> DataFrame:
             ends = pa.array(np.cumsum([0, *map(len, sets)]), pa.int32())
             flat = np.concatenate([np.empty(0, np.uint64), *sets]).view(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(keys, pa.int64()), pa.array(list(map(len, sets)), pa.int64()),
-                 pa.array(list(map(signature, sets)), pa.binary()), pa.ListArray.from_arrays(ends, pa.array(flat))],
-                ["key", "n", "bits", "shingles"])
+                [pa.array(keys, pa.int64()), pa.ListArray.from_arrays(ends, pa.array(flat))], ["key", "shingles"])
 
-    return (docs.select("text").mapInArrow(run, "key long, n long, bits binary, shingles array<long>")
+    return (docs.select("text").mapInArrow(run, "key long, shingles array<long>")
             .join(wanted, "key", "left_semi").dropDuplicates(["key"]))
 
 
@@ -313,17 +300,10 @@ def proposed(crowded: DataFrame, percent: int, partners: int) -> DataFrame:
             .sortWithinPartitions("token", "n", "key").mapInArrow(run, "a long, b long, more boolean"))
 
 
-def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The ``(a, b)`` that are linked: what the bits allow, by the intersection of the shingles."""
+def linked(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """The ``(a, b)`` that are linked, by the intersection of their shingles."""
 
-    def allowed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            bits = np.array([differing(np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)[None])[0]
-                             for x, y in zip(batch.column(4).to_pylist(), batch.column(5).to_pylist())], np.int64)
-            n, m = batch.column(2).to_numpy(), batch.column(3).to_numpy()
-            yield batch.filter(pa.array(may_link(n, m, bits, percent))).select(["a", "b"])
-
-    def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             kept = []
             for i in range(batch.num_rows):
@@ -333,14 +313,11 @@ def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                     kept.append(i)
             yield batch.take(pa.array(kept, pa.int64())).select(["a", "b"])
 
-    def with_sides(left: DataFrame, *columns: str) -> DataFrame:
-        for side in "ab":
-            own = sets.select(F.col("key").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in columns])
-            left = left.join(own, side)
-        return left.select("a", "b", *[f"{c}_{side}" for c in columns for side in "ab"])
-
-    fit = with_sides(pairs, "n", "bits").mapInArrow(allowed, "a long, b long")
-    return with_sides(fit, "shingles").mapInArrow(exact, "a long, b long")
+    wanted = stage(pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct())
+    sets = stage(members(docs, words, wanted))
+    for side in "ab":
+        pairs = pairs.join(sets.withColumnsRenamed({"key": side, "shingles": f"of_{side}"}), side)
+    return pairs.select("a", "b", "of_a", "of_b").mapInArrow(run, "a long, b long")
 
 
 def roots(edges: DataFrame) -> DataFrame:
@@ -356,24 +333,23 @@ def apart(rows: DataFrame, root: DataFrame) -> DataFrame:
     return rooted.join(several, "token", "left_semi")
 
 
-def links(docs: DataFrame, words: int, percent: int, common: np.ndarray) -> DataFrame:
+def links(docs: DataFrame, marks: DataFrame, words: int, percent: int) -> DataFrame:
     """``(key, root)`` of the texts of ``docs(text)`` that are linked to another text."""
-    shared = stage(tiles(tokens(docs, words, percent, common)))
-    sets = stage(members(docs, words, stage(shared.select("key").distinct())))
-    pairs = stage(shared.filter("key <> lead").select(F.least("key", "lead").alias("a"),
-                                                      F.greatest("key", "lead").alias("b")).distinct())
-    tried, partners = pairs, PARTNERS
-    edges = stage(linked(pairs, sets, percent))
-    root = roots(edges)
-    crowded = stage(apart(shared.select("token", "key"), root))
+    marked_ = marks.filter("bits IS NOT NULL").select("key", "n", "bits").dropDuplicates(["key"])
+    crowded = stage(tiles(tokens(docs, words, percent, common_buckets(marks)))
+                    .join(marked_, "key").withColumn("root", F.col("key")))
+    partners, edges, tried = PARTNERS, None, None
     while True:
-        found = stage(proposed(crowded.join(sets.select("key", "n", "bits"), "key"), percent, partners))
-        pairs = stage(found.select("a", "b").distinct().join(tried, ["a", "b"], "left_anti"))
-        edges, tried = stage(edges.union(linked(pairs, sets, percent))), tried.union(pairs)
+        found = stage(proposed(crowded, percent, partners))
+        pairs = found.select("a", "b").distinct()
+        pairs = stage(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"))
+        new = linked(pairs, docs, words, percent)
+        edges = stage(new if edges is None else edges.union(new))
+        tried = pairs if tried is None else tried.union(pairs)
         root = roots(edges)
         if found.filter("more").isEmpty():
             return root
-        crowded = stage(apart(crowded.select("token", "key"), root))
+        crowded = stage(apart(crowded.drop("root"), root))
         partners *= MORE
 
 
@@ -391,7 +367,7 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     marks = stage(marked(source, words))
     rows = marks.filter("bucket IS NULL")
-    root = links(source, words, percent, common_buckets(marks))
+    root = links(source, marks, words, percent)
     known = rows.filter("key IS NOT NULL").groupBy("key").agg(F.min("id").alias("least"))
     rooted = stage(known.join(root, "key", "left").withColumn("root", F.coalesce("root", "key")))
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))

@@ -31,10 +31,13 @@ from ratingloom.llm.text import SEED, utf8
 TABLE = 1 << 20
 
 #: Words counted together.
-BLOCK = 1_500_000
+BLOCK = 700_000
+
+#: Numbers of words counted together.
+NUMBERS = 2_000_000
 
 #: Hashes of words remembered in a task.
-REMEMBERED = 300_000
+REMEMBERED = 200_000
 
 #: Lowers A-Z, and turns what ends a piece (.,;:!? and 0x0A to 0x0D) into line ends.
 PIECES = bytes(c + 32 if 0x41 <= c <= 0x5A else 0x0A if c in b".,;:!?\n\x0b\x0c\r" else c for c in range(256))
@@ -81,6 +84,7 @@ def longer(keys: np.ndarray, words: np.ndarray) -> np.ndarray:
 
 
 def known(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    keys = keys >> np.uint64(32)
     bits = table[(keys >> np.uint64(6) & np.uint64(TABLE - 1)).astype(np.int64)]
     return (bits >> (keys & np.uint64(63)) & np.uint64(1)).astype(bool)
 
@@ -113,19 +117,24 @@ def seeded(lang: str) -> np.uint64:
     return np.uint64(xxhash.xxh3_64_intdigest(lang.encode(), SEED))
 
 
+def part_of(shard: Column) -> Column:
+    """The number of a shard of a language."""
+    return F.xxhash64("lang", shard.cast("int"))
+
+
 def counts(group: tuple[str, int], keys: np.ndarray) -> pa.RecordBatch:
-    keys, n = np.unique(keys, return_counts=True)
-    lang, shard = group
+    """The counts of ``keys``, which are cut to 32 bits: as many as the table tells apart, and more."""
+    keys, n = np.unique((keys >> np.uint64(32)).astype(np.uint32), return_counts=True)
     return pa.RecordBatch.from_arrays(
-        [pa.array([lang] * len(keys), pa.string()), pa.array(np.full(len(keys), shard, np.int32)),
-         pa.array(keys.view(np.int64)), pa.array(n.astype(np.int64))], ["lang", "shard", "key", "n"])
+        [pa.array(np.full(len(keys), group[1], np.int64)), pa.array(keys.view(np.int32)),
+         pa.array(n.astype(np.int64))], ["part", "key", "n"])
 
 
-COUNTS = "lang string, shard int, key long, n long"
+COUNTS = "part long, key int, n long"
 
 
 def word_level(docs: DataFrame) -> DataFrame:
-    """``(lang, shard, key, n)``: counts of words, as tasks found them."""
+    """``(part, key, n)``: counts of the words of each shard of a language, as tasks found them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = Hashes()
@@ -137,7 +146,8 @@ def word_level(docs: DataFrame) -> DataFrame:
 
 
 def encoded(docs: DataFrame, table: np.ndarray) -> DataFrame:
-    """``(lang, shard, words)``: hashes of the words of many texts; one zero where others stood."""
+    """``(lang, part, words)``: hashes of the words of many texts; a zero where others or breaks stood,
+    and at the end."""
     shared = docs.sparkSession.sparkContext.broadcast(table)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -149,31 +159,40 @@ def encoded(docs: DataFrame, table: np.ndarray) -> DataFrame:
             lists = pa.ListArray.from_arrays(pa.array([0, len(h)], pa.int32()),
                                              pa.array(h.astype(np.uint32).view(np.int32)))
             yield pa.RecordBatch.from_arrays(
-                [pa.array([group[0]], pa.string()), pa.array([group[1]], pa.int32()), lists],
-                ["lang", "shard", "words"])
+                [pa.array([group[0]], pa.string()), pa.array([group[1]], pa.int64()), lists],
+                ["lang", "part", "words"])
 
-    return docs.mapInArrow(run, "lang string, shard int, words array<int>")
+    return docs.mapInArrow(run, "lang string, part long, words array<int>")
 
 
 def level(texts: DataFrame, size: int, table: np.ndarray) -> DataFrame:
-    """``(lang, shard, key, n)``: counts of the phrases of ``size`` words, as tasks found them.
+    """``(part, key, n)``: counts of the phrases of ``size`` words, as tasks found them.
 
     Only phrases whose two parts one word shorter are in ``table`` are counted."""
     shared = texts.sparkSession.sparkContext.broadcast(table)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        open_: dict[tuple[str, int], list[np.ndarray]] = {}
         for batch in batches:
             for i in range(batch.num_rows):
                 group = batch.column(0)[i].as_py(), batch.column(1)[i].as_py()
-                h = batch.column(2)[i].values.to_numpy().view(np.uint32).astype(np.uint64)
-                key, whole, seed = h, h > 0, seeded(group[0])
-                for k in range(2, size):
-                    key = longer(key, h[k - 1:])
-                    whole = whole[:len(key)] & (h[k - 1:] > 0)
-                if size > 2:
-                    whole &= known(shared.value, mixed(key ^ seed))
-                whole = whole[:-1] & whole[1:]
-                yield counts(group, mixed(longer(key, h[size - 1:])[whole] ^ seed))
+                held = open_.setdefault(group, [])
+                held.append(batch.column(2)[i].values.to_numpy().view(np.uint32))
+                if sum(map(len, held)) >= NUMBERS:
+                    yield counts(group, phrases(group, open_.pop(group)))
+        for group, held in open_.items():
+            yield counts(group, phrases(group, held))
+
+    def phrases(group: tuple[str, int], held: list[np.ndarray]) -> np.ndarray:
+        h = np.concatenate(held).astype(np.uint64)
+        key, whole, seed = h, h > 0, seeded(group[0])
+        for k in range(2, size):
+            key = longer(key, h[k - 1:])
+            whole = whole[:len(key)] & (h[k - 1:] > 0)
+        if size > 2:
+            whole &= known(shared.value, mixed(key ^ seed))
+        whole = whole[:-1] & whole[1:]
+        return mixed(longer(key, h[size - 1:])[whole] ^ seed)
 
     return texts.mapInArrow(run, COUNTS)
 
@@ -223,18 +242,20 @@ def counted(docs: DataFrame, most: int, table: np.ndarray) -> DataFrame:
 
 def frequent(docs: DataFrame, most: int, support: int, shards: int) -> tuple[DataFrame, DataFrame]:
     """``(lang, phrase, k, a)`` of all phrases up to ``most`` words with ``support``; ``(lang, n)``."""
-    local = stage(word_level(docs).groupBy("lang", "shard", "key").agg(F.sum("n").alias("n")))
-    parts = local.groupBy("lang", "shard").agg(F.sum("n").alias("words"))
-    size = stage(parts.groupBy("lang").agg(F.sum("words").alias("n")))
-    # Below this support in every shard a phrase is below the whole's in all together. A row a shard.
-    least = F.broadcast(stage(parts.join(size, "lang").select(
-        "lang", "shard", F.ceil(exact("words") * support / exact("n")).cast("long").alias("least"))))
-    table = with_bits(np.zeros(TABLE, np.uint64), local.join(least, ["lang", "shard"]).filter("n >= least"))
+    local = stage(word_level(docs).groupBy("part", "key").agg(F.sum("n").alias("n")))
+    names = docs.select("lang").distinct().select("lang", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"))
+    parts = stage(local.groupBy("part").agg(F.sum("n").alias("words")).join(
+        names.select("lang", part_of(F.col("shard")).alias("part")), "part"))
+    size = parts.groupBy("lang").agg(F.sum("words").alias("n"))
+    # Below this support in every shard a phrase is below the whole's in all together.
+    least = F.broadcast(stage(parts.join(size, "lang").groupBy("part").agg(F.min(
+        F.ceil(exact("words") * support / exact("n")).cast("long")).alias("least"))))
+    table = with_bits(np.zeros(TABLE, np.uint64), local.join(least, "part").filter("n >= least"))
     texts = stage(encoded(docs, table))
     for k in range(2, most + 1):
-        local = level(texts, k, table).groupBy("lang", "shard", "key").agg(F.sum("n").alias("n"))
-        table = with_bits(table, local.join(least, ["lang", "shard"]).filter("n >= least"))
-    found = counted(docs.drop("shard"), most, table).groupBy("lang", "phrase", "k").agg(F.sum("n").alias("a"))
+        local = level(texts, k, table).groupBy("part", "key").agg(F.sum("n").alias("n"))
+        table = with_bits(table, local.join(least, "part").filter("n >= least"))
+    found = counted(docs.drop("part"), most, table).groupBy("lang", "phrase", "k").agg(F.sum("n").alias("a"))
     return stage(found.filter(F.col("a") >= support)), size
 
 
@@ -290,8 +311,9 @@ def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
     texts of any length are whole. An empty table gives an empty result.
     """
     text = F.col(text_col).cast("string")
-    source = docs.select(text.alias("text"), F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"),
-                         F.pmod(F.xxhash64(text), F.lit(shards)).cast("int").alias("shard"))
+    lang = F.coalesce(F.col(lang_col).cast("string"), F.lit("und"))
+    source = (docs.select(text.alias("text"), lang.alias("lang"))
+              .withColumn("part", part_of(F.pmod(F.xxhash64("text"), F.lit(shards)))))
     found, size = frequent(source, most, support, shards)
     kept = (scored(found).join(inner_counts(found), ["lang", "phrase"], "left")
             .filter(F.coalesce(exact("top") * 100 < exact("a") * inside, F.lit(True))).drop("top"))

@@ -171,6 +171,7 @@ def phrase_rows(rnd, n=300):
 def test_phrases_against_brute_force(spark, monkeypatch, shards, block, top):
     rows = phrase_rows(random.Random(4))
     monkeypatch.setattr(phrases, "BLOCK", block)
+    monkeypatch.setattr(phrases, "NUMBERS", block)
     df = spark.createDataFrame(rows, "text string, lang string").repartition(4)
     assert mined(df, shards=shards, top=top) == brute_phrases(rows, top=top)
 
