@@ -1,8 +1,9 @@
 """Neighbourhood collaborative filtering: similarities, prediction, recommendation, evaluation.
 
-Entities are users or items. A pair table holds ``a, b, sim, n_common`` with ``a < b`` and
-comes from the blocked product in ``gram``; it is computed once, staged by the caller and
-shared by everything that follows. One rating per (user, item) is assumed: see
+Entities are users or items. A pair table holds ``a, b, sim, n_common`` with ``a < b``. Given a
+threshold ``least`` it comes from a threshold join (``simjoin``), without one from the blocked
+product of all pairs (``gram``). Prediction needs no pair table: similarities are computed for the
+requested entities and only the best are kept (``neighbors``). One rating per (user, item) is assumed: see
 ``clean.latest_ratings``.
 """
 
@@ -17,6 +18,8 @@ from ratingloom.functions.staging import stage
 from ratingloom.functions.stats import dense_index
 from ratingloom.operators.gram import gram_best, gram_pairs
 from ratingloom.operators.matrix import known_pairs_filter
+from ratingloom.operators.neighbors import context_topk
+from ratingloom.operators.simjoin import cosine_pairs, jaccard_pairs, overlap_pairs, whole_pairs
 
 LOW, HIGH = 0.5, 5.0
 #: Contexts with at most this many entries are joined directly; see ``topk_neighbors``.
@@ -43,11 +46,11 @@ def vectors(ratings: DataFrame, of: str, center: str | None = None) -> DataFrame
     return entries.join(norms, "r").select("r", "f", unit.alias("v"))
 
 
-def co_rating_pairs(ratings: DataFrame, of: str = "user") -> DataFrame:
-    """``a, b, dot, n_common`` of the raw ratings."""
+def co_rating_pairs(ratings: DataFrame, of: str = "user", least: int | None = None) -> DataFrame:
+    """``a, b, dot, n_common`` of the raw ratings; with ``least`` common ratings, if given."""
     row, other = KEYS[of]
-    return gram_pairs(ratings.select(
-        F.col(row).alias("r"), F.col(other).alias("f"), F.col("rating").alias("v")))
+    entries = ratings.select(F.col(row).alias("r"), F.col(other).alias("f"), F.col("rating").alias("v"))
+    return overlap_pairs(entries, least) if least else gram_pairs(entries)
 
 
 def _as_similarity(pairs: DataFrame, min_common: int) -> DataFrame:
@@ -56,15 +59,32 @@ def _as_similarity(pairs: DataFrame, min_common: int) -> DataFrame:
 
 
 def similarity(ratings: DataFrame, of: str = "user", center: str | None = None,
-               min_common: int = 1) -> DataFrame:
-    """Cosine of the (centred) rating vectors of every pair with common ratings."""
+               min_common: int = 1, least: float | None = None) -> DataFrame:
+    """Cosine of the (centred) rating vectors of every pair with common ratings, or of the pairs
+    that reach ``least``."""
+    if least:
+        return cosine_pairs(vectors(ratings, of, center), least, min_common)
     return _as_similarity(gram_pairs(vectors(ratings, of, center)), min_common)
 
 
-def jaccard(ratings: DataFrame, of: str = "user", min_common: int = 1) -> DataFrame:
-    """Common ratings over all ratings of the two."""
+def shrunk_similarity(ratings: DataFrame, of: str, center: str | None, least: float,
+                      strength: float = 100.0) -> DataFrame:
+    """The pairs whose similarity, shrunk by ``strength``, reaches ``least``.
+
+    Two rows have at most as many common ratings as the shorter one has ratings, so the plain
+    similarity has to reach ``least`` (n + strength) / n for the n of both.
+    """
+    pairs = cosine_pairs(vectors(ratings, of, center), lambda n: F.lit(least) * (n + F.lit(strength)) / n)
+    return shrink(pairs, strength).where(F.round("sim", 9) >= least)
+
+
+def jaccard(ratings: DataFrame, of: str = "user", min_common: int = 1,
+            least: float | None = None) -> DataFrame:
+    """Common ratings over all ratings of the two, of every pair or of those that reach ``least``."""
     row, other = KEYS[of]
     entries = ratings.select(F.col(row).alias("r"), F.col(other).alias("f"), F.lit(1.0).alias("v"))
+    if least:
+        return jaccard_pairs(entries, least).where(F.col("n_common") >= min_common)
     sizes = entries.groupBy("r").agg(F.count(F.lit(1)).alias("n"))
     union = F.col("na") + F.col("nb") - F.col("n_common")
     return (
@@ -114,14 +134,40 @@ def shrink(pairs: DataFrame, strength: float = 100.0) -> DataFrame:
         "sim", F.col("sim") * F.col("n_common") / (F.col("n_common") + F.lit(strength)))
 
 
-def hybrid_similarity(pairs: DataFrame, content: DataFrame, cf_weight: float = 0.8) -> DataFrame:
-    """Weighted sum of rating similarity and cosine of content ``(movieId, feature, value)``."""
+def content_units(content: DataFrame) -> DataFrame:
+    """``r, f, v``: unit vectors of content ``(movieId, feature, value)``."""
     entries = content.join(dense_index(content, "feature", "f"), "feature").select(
         F.col("movieId").alias("r"), "f", F.col("value").cast("double").alias("v"))
     norms = entries.groupBy("r").agg(F.sqrt(F.sum(F.col("v") * F.col("v"))).alias("norm"))
-    units = entries.join(norms, "r").select(
+    return entries.join(norms, "r").select(
         "r", "f", F.coalesce(F.try_divide("v", "norm"), F.lit(0.0)).alias("v"))
-    content_pairs = gram_pairs(units).select("a", "b", F.col("dot").alias("_c"))
+
+
+def hybrid_pairs(ratings: DataFrame, content: DataFrame, least: float, cf_weight: float = 0.8,
+                 center: str | None = None) -> DataFrame:
+    """The item pairs whose hybrid similarity reaches ``least``.
+
+    Neither part is above one, so a pair reaches it only if its ratings or its content reach
+    ``least``: what the two threshold joins find is all there is, and is then weighed whole.
+    """
+    units, described = stage(vectors(ratings, "item", center)), stage(content_units(content))
+    found = stage(cosine_pairs(units, least).select("a", "b").unionByName(
+        cosine_pairs(described, least).select("a", "b")).distinct())
+    sizes = units.select("r", "f").unionByName(described.select("r", "f")).groupBy("r").agg(F.count(F.lit(1)).alias("n"))
+    found = stage(found.join(sizes.toDF("a", "n_a"), "a").join(sizes.toDF("b", "n_b"), "b"))
+    rated, alike = whole_pairs(units, found), whole_pairs(described, found)
+    zero = F.lit(0.0)
+    sim = (F.lit(cf_weight) * F.coalesce(F.col("dot"), zero)
+           + F.lit(1 - cf_weight) * F.coalesce(F.col("content"), zero))
+    return (found.select("a", "b").join(rated, ["a", "b"], "left")
+            .join(alike.select("a", "b", F.col("dot").alias("content")), ["a", "b"], "left")
+            .select("a", "b", sim.alias("sim"), F.coalesce("n_common", F.lit(0)).alias("n_common"))
+            .where(F.round("sim", 9) >= least))
+
+
+def hybrid_similarity(pairs: DataFrame, content: DataFrame, cf_weight: float = 0.8) -> DataFrame:
+    """Weighted sum of rating similarity and cosine of content ``(movieId, feature, value)``."""
+    content_pairs = gram_pairs(content_units(content)).select("a", "b", F.col("dot").alias("_c"))
     zero = F.lit(0.0)
     return pairs.join(content_pairs, ["a", "b"], "full").select(
         "a", "b",
@@ -219,17 +265,32 @@ def _combine(neighbors: DataFrame, value: Column, ks: Sequence[int]) -> DataFram
     )
 
 
-def predict_user_cf(targets: DataFrame, train: DataFrame, pairs: DataFrame,
-                    ks: Sequence[int] = (50,), bias: bool = True, wide: int = WIDE) -> DataFrame:
+def nearest_raters(targets: DataFrame, train: DataFrame, of: str, k: int, center: str | None = None,
+                   shrinkage: float = 0.0) -> DataFrame:
+    """What ``topk_neighbors`` finds, from cosines of the requested entities only."""
+    row, other = KEYS[of]
+    raw = train.select(F.col(row).alias("r"), F.col(other).alias("f"), "rating")
+    entries = stage(vectors(train, of, center).join(raw, ["r", "f"]))
+    return context_topk(targets.select(F.col(row).alias("entity"), F.col(other).alias("context")),
+                        entries, k, shrinkage)
+
+
+def predict_user_cf(targets: DataFrame, train: DataFrame, pairs: DataFrame | None = None,
+                    ks: Sequence[int] = (50,), bias: bool = True, wide: int = WIDE,
+                    center: str | None = None) -> DataFrame:
     """``k`` and ``prediction`` for each target (userId, movieId).
 
+    Neighbours are the users of the largest cosine (``center`` as in ``vectors``), or come from
+    ``pairs``, a pair table of another similarity.
+
     The user's mean plus the weighted deviations of the k most similar raters from their
     own means, clipped to the rating scale. The mean alone without such raters; null when
     the user or the item is unknown.
     """
     means = train.groupBy("userId").agg(F.avg("rating").alias("mean"))
     known = known_pairs_filter(targets.select("userId", "movieId").distinct(), train)
-    top = topk_neighbors(known, train, pairs, "user", max(ks), wide)
+    top = (topk_neighbors(known, train, pairs, "user", max(ks), wide) if pairs is not None
+           else nearest_raters(known, train, "user", max(ks), center))
     value = F.col("rating") - F.col("mean") if bias else F.col("rating")
     shifts = _combine(top.join(means.toDF("neighbor", "mean"), "neighbor"), value, ks)
     base = F.col("mean") if bias else F.lit(0.0)
@@ -243,17 +304,21 @@ def predict_user_cf(targets: DataFrame, train: DataFrame, pairs: DataFrame,
     return _with_unknown(targets, predicted, ks)
 
 
-def predict_item_cf(targets: DataFrame, train: DataFrame, pairs: DataFrame,
-                    ks: Sequence[int] = (30,), wide: int = WIDE) -> DataFrame:
+def predict_item_cf(targets: DataFrame, train: DataFrame, pairs: DataFrame | None = None,
+                    ks: Sequence[int] = (30,), wide: int = WIDE, center: str | None = "other",
+                    shrinkage: float = 100.0) -> DataFrame:
     """The baseline (global mean, user and item bias) plus the weighted deviations of the
     user's k most similar rated items from their baselines, clipped. The baseline alone
     without such items; null when the user or the item is unknown.
+
+    Neighbours are the items of the largest shrunk cosine, or come from ``pairs``.
     """
     mean = train.agg(F.avg("rating")).first()[0]
     users = train.groupBy("userId").agg((F.avg("rating") - F.lit(mean)).alias("bu"))
     items = train.groupBy("movieId").agg((F.avg("rating") - F.lit(mean)).alias("bi"))
     known = known_pairs_filter(targets.select("userId", "movieId").distinct(), train)
-    top = topk_neighbors(known, train, pairs, "item", max(ks), wide)
+    top = (topk_neighbors(known, train, pairs, "item", max(ks), wide) if pairs is not None
+           else nearest_raters(known, train, "item", max(ks), center, shrinkage))
     rich = top.join(items.toDF("neighbor", "bj"), "neighbor").join(
         users.toDF("context", "bu"), "context")
     shifts = _combine(
@@ -301,9 +366,7 @@ def best_first(predicted: DataFrame, n: int) -> DataFrame:
 def recommend_user_cf(requests: DataFrame, ratings: DataFrame, n: int = 10, k: int = 50,
                       center: str | None = None) -> DataFrame:
     """The ``n`` unseen items with the highest predictions for each requested user."""
-    wanted = requests.select(F.col("userId").alias("r"))
-    pairs = stage(similarity_to(vectors(ratings, "user", center), wanted))
-    predicted = predict_user_cf(candidate_items(requests, ratings), ratings, pairs, (k,))
+    predicted = predict_user_cf(candidate_items(requests, ratings), ratings, ks=(k,), center=center)
     return best_first(predicted.drop("k"), n)
 
 
@@ -411,13 +474,13 @@ def evaluate_cf(predicted: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     )
 
 
-def cf_grid_search(train: DataFrame, test: DataFrame, similarities: dict[str, DataFrame],
+def cf_grid_search(train: DataFrame, test: DataFrame, centers: dict[str, str | None],
                    ks: Sequence[int] = (20, 50, 100)) -> DataFrame:
-    """``metric, k`` with their scores; each pair table is ranked once for every k."""
+    """``metric, k`` with their scores; each metric's neighbours are ranked once for every k."""
     parts = []
-    known = known_pairs_filter(test, train)
-    for metric, pairs in similarities.items():
-        predicted = predict_user_cf(known, train, pairs, ks)
+    known = stage(known_pairs_filter(test, train))
+    for metric, center in centers.items():
+        predicted = predict_user_cf(known, train, ks=ks, center=center)
         parts.append(evaluate_cf(predicted, ["k"]).withColumn("metric", F.lit(metric)))
     whole = parts[0]
     for part in parts[1:]:
@@ -425,12 +488,11 @@ def cf_grid_search(train: DataFrame, test: DataFrame, similarities: dict[str, Da
     return whole
 
 
-def cf_compare(train: DataFrame, test: DataFrame, user_pairs: DataFrame, item_pairs: DataFrame,
-               user_k: int = 50, item_k: int = 30) -> DataFrame:
+def cf_compare(train: DataFrame, test: DataFrame, user_k: int = 50, item_k: int = 30) -> DataFrame:
     """Scores of user-based and item-based prediction on the same test rows."""
-    known = known_pairs_filter(test, train)
-    users = predict_user_cf(known, train, user_pairs, (user_k,))
-    items = predict_item_cf(known, train, item_pairs, (item_k,))
+    known = stage(known_pairs_filter(test, train))
+    users = predict_user_cf(known, train, ks=(user_k,))
+    items = predict_item_cf(known, train, ks=(item_k,))
     return (
         evaluate_cf(users).withColumn("method", F.lit("user_based"))
         .unionByName(evaluate_cf(items).withColumn("method", F.lit("item_based")))

@@ -97,8 +97,7 @@ def compare_recommenders(ratings: DataFrame) -> DataFrame:
     """User-based against item-based prediction on a repeatable split."""
     latest = stage(clean.latest_ratings(ratings).select("userId", "movieId", "rating"))
     train, test = map(stage, cf.train_test_split(latest, ["userId", "movieId"]))
-    return cf.cf_compare(train, test, stage(cf.similarity(train, "user")),
-                         stage(cf.shrink(cf.similarity(train, "item", "other"))))
+    return cf.cf_compare(train, test)
 
 
 def scaled_split(data: DataFrame, columns: list[str]) -> tuple[DataFrame, DataFrame, list[str]]:

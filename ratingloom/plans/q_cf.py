@@ -18,23 +18,12 @@ def split(star):
     return stage(train), stage(test)
 
 
-def profile(pairs):
-    """Everything a pair table holds, summed up per entity."""
-    return cf.both_ways(pairs).groupBy("entity").agg(
-        F.count(F.lit(1)).alias("n_pairs"), F.sum("n_common").alias("n_common"),
-        F.sum("sim").alias("sum_sim"), F.sum(F.col("sim") * F.col("sim")).alias("sum_square"),
-        F.min("sim").alias("min_sim"), F.max("sim").alias("max_sim"),
-    )
+#: Similarities that the pair queries ask for, and common ratings.
+LEAST, LEAST_SHRUNK, LEAST_JACCARD, LEAST_HYBRID, LEAST_COMMON = 0.1, 0.005, 0.05, 0.25, 4
 
 
-PROFILE = """
-SELECT entity, count(*) AS n_pairs, CAST(sum(n_common) AS BIGINT) AS n_common,
-       sum(sim) AS sum_sim, sum(sim * sim) AS sum_square, min(sim) AS min_sim,
-       max(sim) AS max_sim
-FROM (SELECT a AS entity, sim, n_common FROM pairs UNION ALL SELECT b, sim, n_common FROM pairs)
-  AS p GROUP BY 1
-"""
-PROFILE_DOUBLES = "sum_sim sum_square min_sim max_sim"
+def above(least, name="pairs"):
+    return f" SELECT a, b, sim, n_common FROM {name} WHERE round(sim, 9) >= {least}"
 
 
 def pairs_sql(of, value="rating", source="latest", name="pairs", extra=""):
@@ -55,25 +44,23 @@ OWN = '(rating - avg(rating) OVER (PARTITION BY {}))'
 SHRUNK = " * n_common / (n_common + 100)"
 
 
-@query("co_rating_pairs", """
-WITH pairs AS (SELECT x."userId" AS a, y."userId" AS b, sum(x.rating * y.rating) AS sim,
-                      count(*) AS n_common
-               FROM latest x JOIN latest y USING ("movieId") WHERE x."userId" < y."userId"
-               GROUP BY 1, 2)
-""" + PROFILE, PROFILE_DOUBLES)
+@query("co_rating_pairs", f"""
+SELECT x."userId" AS a, y."userId" AS b, sum(x.rating * y.rating) AS dot, count(*) AS n_common
+FROM latest x JOIN latest y USING ("movieId") WHERE x."userId" < y."userId"
+GROUP BY 1, 2 HAVING count(*) >= {LEAST_COMMON}
+""", "dot")
 def co_rating_pairs(star):
-    return profile(cf.co_rating_pairs(rated(star)).withColumnRenamed("dot", "sim"))
+    return cf.co_rating_pairs(rated(star), least=LEAST_COMMON)
 
 
-@query("user_similarity_cosine", "WITH " + pairs_sql("user") + PROFILE, PROFILE_DOUBLES)
+@query("user_similarity_cosine", "WITH " + pairs_sql("user") + above(LEAST), "sim")
 def user_similarity_cosine(star):
-    return profile(cf.similarity(rated(star), "user"))
+    return cf.similarity(rated(star), "user", least=LEAST)
 
 
-@query("user_similarity_pearson", "WITH " + pairs_sql("user", OWN.format('"userId"')) + PROFILE,
-       PROFILE_DOUBLES)
+@query("user_similarity_pearson", "WITH " + pairs_sql("user", OWN.format('"userId"')) + above(LEAST), "sim")
 def user_similarity_pearson(star):
-    return profile(cf.similarity(rated(star), "user", "own"))
+    return cf.similarity(rated(star), "user", "own", least=LEAST)
 
 
 @query("user_similarity_jaccard", """
@@ -82,43 +69,42 @@ pairs AS (SELECT a, b, n_common, n_common / CAST(x.n + y.n - n_common AS DOUBLE)
           FROM (SELECT x."userId" AS a, y."userId" AS b, count(*) AS n_common
                 FROM latest x JOIN latest y USING ("movieId") WHERE x."userId" < y."userId"
                 GROUP BY 1, 2) AS d JOIN c x ON x."userId" = a JOIN c y ON y."userId" = b)
-""" + PROFILE, PROFILE_DOUBLES)
+""" + above(LEAST_JACCARD), "sim")
 def user_similarity_jaccard(star):
-    return profile(cf.jaccard(rated(star)))
+    return cf.jaccard(rated(star), least=LEAST_JACCARD)
 
 
 @query("similarity_cluster_boost", "WITH " + pairs_sql("user", name="plain") + """,
 pairs AS (SELECT a, b, n_common,
                  CASE WHEN a % 8 = b % 8 THEN least(1.2 * sim, 1) ELSE sim END AS sim FROM plain)
-""" + PROFILE, PROFILE_DOUBLES)
+""" + above(1.2 * LEAST), "sim")
 def similarity_cluster_boost(star):
     ratings = rated(star)
     clusters = ratings.select("userId").distinct().withColumn("cluster", F.col("userId") % 8)
-    return profile(cf.cluster_boost(cf.similarity(ratings, "user"), clusters))
+    boosted = cf.cluster_boost(cf.similarity(ratings, "user", least=LEAST - 1e-6), clusters, 1.2)
+    return boosted.where(F.round("sim", 9) >= 1.2 * LEAST)
 
 
-@query("item_similarity_cosine", "WITH " + pairs_sql("item") + PROFILE, PROFILE_DOUBLES)
+@query("item_similarity_cosine", "WITH " + pairs_sql("item") + above(LEAST), "sim")
 def item_similarity_cosine(star):
-    return profile(cf.similarity(rated(star), "item"))
+    return cf.similarity(rated(star), "item", least=LEAST)
 
 
-@query("item_similarity_adjusted", "WITH " + pairs_sql("item", OWN.format('"userId"')) + PROFILE,
-       PROFILE_DOUBLES)
+@query("item_similarity_adjusted", "WITH " + pairs_sql("item", OWN.format('"userId"')) + above(LEAST), "sim")
 def item_similarity_adjusted(star):
-    return profile(cf.similarity(rated(star), "item", "other"))
+    return cf.similarity(rated(star), "item", "other", least=LEAST)
 
 
 @query("item_similarity_correlation",
-       "WITH " + pairs_sql("item", OWN.format('"movieId"')) + PROFILE, PROFILE_DOUBLES)
+       "WITH " + pairs_sql("item", OWN.format('"movieId"')) + above(LEAST), "sim")
 def item_similarity_correlation(star):
-    return profile(cf.similarity(rated(star), "item", "own"))
+    return cf.similarity(rated(star), "item", "own", least=LEAST)
 
 
 @query("similarity_shrinkage",
-       "WITH " + pairs_sql("item", OWN.format('"userId"'), extra=SHRUNK) + PROFILE,
-       PROFILE_DOUBLES)
+       "WITH " + pairs_sql("item", OWN.format('"userId"'), extra=SHRUNK) + above(LEAST_SHRUNK), "sim")
 def similarity_shrinkage(star):
-    return profile(cf.shrink(cf.similarity(rated(star), "item", "other")))
+    return cf.shrunk_similarity(rated(star), "item", "other", LEAST_SHRUNK)
 
 
 @query("hybrid_similarity", "WITH " + pairs_sql("item", name="plain") + """,
@@ -132,11 +118,11 @@ content AS (SELECT a, b, n / (x.norm * y.norm) AS c
 pairs AS (SELECT a, b, coalesce(n_common, 0) AS n_common,
                  0.8 * coalesce(sim, 0) + 0.2 * coalesce(c, 0) AS sim
           FROM plain FULL JOIN content USING (a, b))
-""" + PROFILE, PROFILE_DOUBLES)
+""" + above(LEAST_HYBRID), "sim")
 def hybrid_similarity(star):
     content = genres.movie_genres(star.clean_movies).distinct().select(
         "movieId", F.col("genre").alias("feature"), F.lit(1.0).alias("value"))
-    return profile(cf.hybrid_similarity(cf.similarity(rated(star), "item"), content))
+    return cf.hybrid_pairs(rated(star), content, LEAST_HYBRID)
 
 
 def directed_sql(name="pairs", out="directed"):
@@ -247,9 +233,7 @@ SELECT "userId", "movieId", p.prediction FROM test LEFT JOIN p USING ("userId",
 """, "prediction")
 def predict_user_cf(star):
     train, test = split(star)
-    pairs = stage(cf.similarity(train, "user"))
-    return cf.predict_user_cf(test.select("userId", "movieId"), train, pairs,
-                              (50,)).drop("k")
+    return cf.predict_user_cf(test.select("userId", "movieId"), train, ks=(50,)).drop("k")
 
 
 @query("predict_item_cf", "WITH " + SPLIT + "," + ADJUSTED + "," + item_predictions("ip", 30, "p")
@@ -258,18 +242,15 @@ SELECT "userId", "movieId", p.prediction FROM test LEFT JOIN p USING ("userId",
 """, "prediction")
 def predict_item_cf(star):
     train, test = split(star)
-    pairs = stage(cf.shrink(cf.similarity(train, "item", "other")))
-    return cf.predict_item_cf(test.select("userId", "movieId"), train, pairs,
-                              (30,)).drop("k")
+    return cf.predict_item_cf(test.select("userId", "movieId"), train, ks=(30,)).drop("k")
 
 
 @query("evaluate_cf", "WITH " + SPLIT + "," + COSINE + "," + user_predictions("up", 50, "p")
        + f" SELECT {SCORES} FROM p", "rmse mae coverage")
 def evaluate_cf(star):
     train, test = split(star)
-    pairs = stage(cf.similarity(train, "user"))
     known = cf.known_pairs_filter(test, train)
-    return cf.evaluate_cf(cf.predict_user_cf(known, train, pairs, (50,)))
+    return cf.evaluate_cf(cf.predict_user_cf(known, train, ks=(50,)))
 
 
 @query("cf_grid_search", "WITH " + SPLIT + "," + COSINE + "," + PEARSON + "," + ",".join(
@@ -280,10 +261,7 @@ def evaluate_cf(star):
 ), "rmse mae coverage")
 def cf_grid_search(star):
     train, test = split(star)
-    return cf.cf_grid_search(train, test, {
-        "cosine": stage(cf.similarity(train, "user")),
-        "pearson": stage(cf.similarity(train, "user", "own")),
-    })
+    return cf.cf_grid_search(train, test, {"cosine": None, "pearson": "own"})
 
 
 @query("cf_compare", "WITH " + SPLIT + "," + COSINE + "," + ADJUSTED + ","
@@ -292,8 +270,7 @@ def cf_grid_search(star):
          f" SELECT 'item_based', {SCORES} FROM pi", "rmse mae coverage")
 def cf_compare(star):
     train, test = split(star)
-    return cf.cf_compare(train, test, stage(cf.similarity(train, "user")),
-                         stage(cf.shrink(cf.similarity(train, "item", "other"))))
+    return cf.cf_compare(train, test)
 
 
 ACTIVE = """
