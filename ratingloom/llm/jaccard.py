@@ -8,9 +8,9 @@ texts that are otherwise unlike. Of tiles with the same sets one is kept.
 A tile is cut into bands of set size. Each set has a bitmap signature, as wide as its band asks for:
 bit i is the parity of its shingles that hash to i. The bits in which two signatures differ are a
 lower bound of the shingles that only one of them has, so they bound the overlap from above. Pairs
-of different components that may reach the similarity, by size and by bits, go on: a few for each set
-in the first round, which link a group of alike texts, and more in every further one, until a round
-has left none out.
+of different components that may reach the similarity, by size and by bits, go on: one for each set
+of a tile in the first round, which links a group of alike texts, and more in every further one,
+until a round has left none out.
 
 Every pair is decided by the intersection of the sorted arrays of shingles. Equal texts are one text
 throughout; shingles are 64-bit hashes, and texts are named by 64-bit hashes.
@@ -42,10 +42,10 @@ COMMON_TEXTS = 8
 REMEMBERED = 200_000
 
 #: Bits of a signature: at least, at most.
-NARROW, WIDE = 64, 2048
+NARROW, WIDE = 64, 1 << 15
 
 #: Partners a set is given in the first round, and how many times more in each further one.
-PARTNERS, MORE = 4, 16
+PARTNERS, MORE = 1, 16
 
 
 class Hashes(dict):
@@ -80,9 +80,12 @@ def bucket_of(shingles: np.ndarray) -> np.ndarray:
 
 
 def signature(shingles: np.ndarray) -> bytes:
-    """Parities of the shingles by their low bits, as many as the size asks for."""
+    """Parities of the shingles by their low bits: two for each shingle at least.
+
+    Sets of similarity s and size n differ in about 2 n (1 - s) / (1 + s) shingles; with fewer bits
+    too many of these fall together to tell 0.75 from 0.8."""
     bits = NARROW
-    while bits < min(len(shingles), WIDE):
+    while bits < min(2 * len(shingles), WIDE):
         bits *= 2
     odd = np.bincount((shingles & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8)).tobytes()
@@ -246,8 +249,8 @@ def members(docs: DataFrame, words: int, wanted: DataFrame) -> DataFrame:
 
 
 def proposed(crowded: DataFrame, percent: int, partners: int) -> DataFrame:
-    """``(a, b, more)``: pairs of different roots in a tile that size and bits allow, at most
-    ``partners`` for the larger set of a pair; ``more`` if it may have had further ones."""
+    """``(a, b)``: pairs of different roots in a tile that size and bits allow, at most ``partners``
+    for the larger set of a pair; and ``(token, null)`` of the tiles where a set may have further ones."""
 
     def pairs(n, key, root, bits) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         widths = np.array([len(b) for b in bits])
@@ -268,17 +271,29 @@ def proposed(crowded: DataFrame, percent: int, partners: int) -> DataFrame:
                     hit = band[may_link(n[band], n[y], differing(own, table[band - i]), percent)]
                     if len(hit):
                         left[hit] -= 1
-                        yield key[y], key[hit], left[hit] == 0
+                        yield int(key[y]), key[hit], left[hit] == 0
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
+        seen: set[tuple[int, int]] = set()
 
         def tile(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+            cut = False
             columns = [rows[c].to_numpy() for c in ("n", "key", "root")]
+            new: list[tuple[int | None, int | None]] = []
             for one, others, more in pairs(*columns, rows["bits"].to_pylist()):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.minimum(others, one)), pa.array(np.maximum(others, one)), pa.array(more)],
-                    ["a", "b", "more"])
+                for other in others.tolist():
+                    pair = (one, other) if one < other else (other, one)
+                    if pair not in seen:
+                        seen.add(pair)
+                        new.append(pair)
+                cut = cut or bool(more.any())
+            if cut:
+                new.append((rows["token"][0].as_py(), None))
+            if len(seen) > REMEMBERED:
+                seen.clear()
+            if new:
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*new)], ["a", "b"])
 
         for batch in batches:
             if not batch.num_rows:
@@ -297,7 +312,7 @@ def proposed(crowded: DataFrame, percent: int, partners: int) -> DataFrame:
             yield from tile(pa.Table.from_batches(held))
 
     return (crowded.select("token", "n", "key", "root", "bits").repartition("token")
-            .sortWithinPartitions("token", "n", "key").mapInArrow(run, "a long, b long, more boolean"))
+            .sortWithinPartitions("token", "n", "key").mapInArrow(run, "a long, b long"))
 
 
 def linked(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
@@ -341,15 +356,16 @@ def links(docs: DataFrame, marks: DataFrame, words: int, percent: int) -> DataFr
     partners, edges, tried = PARTNERS, None, None
     while True:
         found = stage(proposed(crowded, percent, partners))
-        pairs = found.select("a", "b").distinct()
+        pairs = found.filter("b IS NOT NULL").distinct()
         pairs = stage(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"))
         new = linked(pairs, docs, words, percent)
         edges = stage(new if edges is None else edges.union(new))
         tried = pairs if tried is None else tried.union(pairs)
         root = roots(edges)
-        if found.filter("more").isEmpty():
+        unfinished = found.filter("b IS NULL").select(F.col("a").alias("token"))
+        if unfinished.isEmpty():
             return root
-        crowded = stage(apart(crowded.drop("root"), root))
+        crowded = stage(apart(crowded.drop("root").join(unfinished, "token", "left_semi"), root))
         partners *= MORE
 
 
