@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from ratingloom.operators import classify, clean, quality
+from ratingloom.operators import classify, clean, quality, regress
 
 
 def test_smote_balances_with_repeated_keys(spark):
@@ -50,3 +50,14 @@ def test_nan_is_missing(spark):
 def test_sample_with_large_keys(spark):
     df = spark.range(1000).select((F.col("id") + F.lit(2 ** 62)).alias("k"))
     assert clean.sample_n(df, 10, "k").count() == 10
+
+
+def test_learners_without_rows(spark):
+    none = spark.createDataFrame([], "k long, label double, a double, b double")
+    some = spark.createDataFrame([(1, 1.0, 2.0, 3.0)], none.schema)
+    for s in (regress.gd_mini_batch(none, ["a", "b"], "label", "k", regress.Descent()),
+              regress.gd_sgd(none, ["a", "b"], "label", regress.Descent())):
+        assert list(s.weights) == [0.0, 0.0] and s.bias == 0.0
+    fitted, scored = classify.train_classifiers(none, some, ["a", "b"], "k")
+    assert fitted == {} and scored.collect() == []
+    assert scored.columns == ["k", "label", "model", "prediction", "probability", "score"]
