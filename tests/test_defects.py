@@ -56,7 +56,7 @@ def test_learners_without_rows(spark):
     none = spark.createDataFrame([], "k long, label double, a double, b double")
     some = spark.createDataFrame([(1, 1.0, 2.0, 3.0)], none.schema)
     for s in (regress.gd_mini_batch(none, ["a", "b"], "label", "k", regress.Descent()),
-              regress.gd_sgd(none, ["a", "b"], "label", regress.Descent())):
+              regress.gd_sgd(none, ["a", "b"], "label", "k", regress.Descent())):
         assert list(s.weights) == [0.0, 0.0] and s.bias == 0.0
     fitted, scored = classify.train_classifiers(none, some, ["a", "b"], "k")
     assert fitted == {} and scored.collect() == []

@@ -35,7 +35,7 @@ def test_mini_batch_and_sgd_learn(line):
     mini = regress.gd_mini_batch(line, ["x", "z"], "y", "k",
                                  regress.Descent(learning_rate=0.01, iterations=60), 64)
     assert [*mini.weights, mini.bias] == pytest.approx([2, -1, 3], abs=0.15)
-    sgd = regress.gd_sgd(line, ["x", "z"], "y",
+    sgd = regress.gd_sgd(line, ["x", "z"], "y", "k",
                          regress.Descent(learning_rate=0.002, iterations=4, momentum=0.8))
     assert sgd.trace[-1]["loss"] < sgd.trace[0]["loss"]
 
@@ -46,6 +46,93 @@ def test_batches_cover_every_row_once(line):
     assert sum(m.n for m in found.values()) == 600 and set(found) <= set(range(7))
 
 
+def test_every_epoch_deals_the_cells_anew():
+    first, second = (regress.dealt(e, 100) for e in (0, 1))
+    for batches in (first, second):
+        sizes = np.bincount(batches, minlength=100)
+        assert sizes.sum() == regress.CELLS and sizes.min() >= 10 and sizes.max() <= 11
+    together = (first[:, None] == first) & (second[:, None] == second)
+    np.fill_diagonal(together, False)
+    assert together.mean() < 0.01
+
+
+def test_mini_batch_equals_a_loop_over_rows(line):
+    rows = [(r["x"], r["z"], r["y"], r["_batch"])
+            for r in regress.batch_number(line, "k", 16).collect()]
+    x = np.array([r[:2] for r in rows])
+    y, cell = np.array([r[2] for r in rows]), np.array([r[3] for r in rows])
+    w, b, vw, vb = np.zeros(2), 0.0, np.zeros(2), 0.0
+    for epoch in range(4):
+        of = regress.dealt(epoch, 5, 16)[cell]
+        for batch in range(5):
+            on = of == batch
+            error = x[on] @ w + b - y[on]
+            vw = 0.9 * vw - 0.01 * 0.99 ** ((epoch - 1) / 100 * (epoch > 0)) * (
+                2 * x[on].T @ error / on.sum() + 2 * 0.01 * w)
+            vb = 0.9 * vb - 0.01 * 0.99 ** ((epoch - 1) / 100 * (epoch > 0)) * 2 * error.mean()
+            w, b = w + vw, b + vb
+    run = regress.gd_mini_batch(line, ["x", "z"], "y", "k", regress.Descent(
+        learning_rate=0.01, iterations=4, penalty="l2"), 5, cells=16)
+    assert [*run.weights, run.bias] == pytest.approx([*w, b], abs=1e-9)
+    with pytest.raises(ValueError):
+        regress.gd_mini_batch(line, ["x", "z"], "y", "k", regress.Descent(), 17, cells=16)
+
+
+def brute_shards(line, rows, epochs, rate, momentum, power=0.0):
+    """Row by row in plain Python: final weights, and the mean of all weights after a row."""
+    data = [(r["k"] % 2 ** 31 * 2654435761 % 2 ** 32, r["x"], r["z"], r["y"])
+            for r in line.collect()]
+    shards = {}
+    for r in sorted(data):
+        shards.setdefault(r[0] * (len(data) // rows) // 2 ** 32, []).append(r)
+    shared, seen = np.zeros(3), []
+    for epoch in range(epochs):
+        ends, means = [], []
+        for part in shards.values():
+            w, v, after = shared.copy(), np.zeros(3), []
+            for t, (_, x, z, y) in enumerate(part):
+                row = np.array([x, z, 1.0])
+                eta = rate / (epoch * len(part) + t + 1) ** power
+                v = momentum * v - eta * 2 * (row @ w - y) * row
+                w = w + v
+                after.append(w)
+            ends.append(w * len(part))
+            means.append(np.sum(after, axis=0))
+        shared = np.sum(ends, axis=0) / len(data)
+        seen.append(np.sum(means, axis=0) / len(data))
+    return shared, np.mean(seen, axis=0)
+
+
+@pytest.mark.parametrize("parts", [1, 4, 16])
+def test_sgd_is_the_same_on_any_split(line, parts):
+    want, _ = brute_shards(line, 50, 3, 0.002, 0.5)
+    run = regress.gd_sgd(line.repartition(parts), ["x", "z"], "y", "k", regress.Descent(
+        learning_rate=0.002, iterations=3, momentum=0.5, decay=1.0), rows=50)
+    assert [*run.weights, run.bias] == pytest.approx(list(want), abs=1e-9)
+
+
+def test_averaged_rows_with_a_falling_rate(line):
+    _, want = brute_shards(line, 600, 5, 0.02, 0.0, 0.25)
+    run = regress.linear_sgd(line, ["x", "z"], "y", "k", rate=0.02, epochs=5, penalty="none")
+    assert [*run.weights, run.bias] == pytest.approx(list(want), abs=1e-9)
+
+
+def test_runs_of_a_sweep_do_not_disturb_each_other(line):
+    shards = regress.sgd_shards(line, ["x", "z"], "y", "k", 100)
+    settings = [dict(learning_rate=0.002, iterations=3, momentum=0.8, penalty="l2"),
+                dict(learning_rate=0.001, iterations=5, momentum=0.5, penalty="elastic"),
+                dict(learning_rate=50.0, iterations=9)]
+    together = [regress.Descent(**s) for s in settings]
+    regress.sgd_sweep(shards, 2, together)
+    for s, run in zip(settings[:2], together):
+        alone = regress.Descent(**s)
+        regress.sgd_sweep(shards, 2, [alone])
+        assert run.losses == pytest.approx(alone.losses) and len(run.trace) == s["iterations"]
+        assert list(run.weights) == pytest.approx(list(alone.weights), abs=1e-12)
+    # a run that diverges ends at once and leaves the others alone
+    assert len(together[2].trace) == 1
+
+
 def test_divergence_stops(line):
     run = regress.gd_batch(regress.moments(line, ["x", "z"], "y"),
                            regress.Descent(learning_rate=5.0, iterations=500))
@@ -57,6 +144,34 @@ def test_search_tables(line):
     tuned = regress.tune_random(train, test, ["x", "z"], "y", n_trials=6, iterations=80)
     scores = [r["test_rmse"] for r in tuned.collect()]
     assert scores == sorted(scores)
+    for method in ("mini_batch", "sgd"):
+        rows = regress.tune_random(train, test, ["x", "z"], "y", 4, 3, method=method, key="k"
+                                   ).collect()
+        assert rows and {r["learning_rate"] for r in rows} <= set(
+            regress.GRIDS[method]["learning_rate"])
+        assert all((r["n_batches"] is None) == (method == "sgd") for r in rows)
+    for size in (24, 36, 96):
+        assert sorted(regress.trial_numbers(size, size, 42)) == list(range(size))
+
+
+def test_methods_compared(line):
+    train, test = line.where("k % 5 > 0"), line.where("k % 5 = 0")
+    args = (["x", "z"], "y", "k", [0.001, 0.01])
+    few = {"batch": 30, "mini_batch": 5, "sgd": 2}
+    found = {r["method"]: r for r in regress.compare_methods(
+        train, test, *args, iterations=few).collect()}
+    assert set(found) == {"batch", "mini_batch", "sgd"}
+    assert found["mini_batch"]["n_batches"] in regress.BATCHES
+    best = min(
+        (regress.gd_mini_batch(train, ["x", "z"], "y", "k", regress.Descent(
+            learning_rate=rate, iterations=5, penalty="l2"), n)
+         for rate in args[3] for n in regress.BATCHES),
+        key=lambda s: regress.moments(test, ["x", "z"], "y").loss(s.weights, s.bias))
+    assert found["mini_batch"]["test_rmse"] == pytest.approx(
+        regress.moments(test, ["x", "z"], "y").loss(best.weights, best.bias) ** 0.5)
+    for a, b in ((line.limit(0), test), (train, line.limit(0))):
+        assert not regress.compare_methods(a, b, *args, iterations=few).count()
+        assert not regress.tune_random(a, b, ["x", "z"], "y", 2, 3).count()
 
 
 def test_best_saved_model_is_used(spark, line, tmp_path):
