@@ -63,20 +63,22 @@ def movie_cluster_features(ratings: DataFrame, movies: DataFrame, tags: DataFram
 # --- k-means ------------------------------------------------------------------------------------
 
 def kmeans(df: DataFrame, columns: Sequence[str], k: int, key: str, starts: int = 1,
-           max_iter: int = 300, reduce_to: int | None = None, seed: int = 42
-           ) -> tuple[DataFrame, float]:
-    """``key, cluster`` and the training cost, on standard-scaled columns.
+           max_iter: int = 300, reduce_to: int | None = None, seed: int = 42,
+           scaled: bool = True) -> tuple[DataFrame, float]:
+    """``key, cluster`` and the training cost, on standard-scaled columns (as they are without
+    ``scaled``).
 
     ``reduce_to`` projects wider data on that many components first. Of several starts the
     one with the lowest cost is kept.
     """
-    scaled = scale.scale_standard(df.fillna(0, subset=list(columns)), columns)
-    names = [f"{c}_scaled" for c in columns]
+    filled, names = df.fillna(0, subset=list(columns)), list(columns)
+    if scaled:
+        filled, names = scale.scale_standard(filled, columns), [f"{c}_scaled" for c in columns]
     if reduce_to is not None and len(names) > reduce_to:
-        scores, _ = pca(scaled.select(key, *names), names, k=reduce_to)
+        scores, _ = pca(filled.select(key, *names), names, k=reduce_to)
         data = scores.select(key, array_to_vector("pc").alias("features"))
     else:
-        data = assemble(scaled, names).select(key, "features")
+        data = assemble(filled, names).select(key, "features")
     data = stage(data)
     best = None
     for start in range(starts):
@@ -98,14 +100,14 @@ def kmeans_cold_start(user_features: DataFrame, movie_features: DataFrame, fast:
                       user_k: int = 20, item_k: int = 50) -> tuple[DataFrame, DataFrame]:
     """``user_k`` clusters of users by activity and ``item_k`` of items by content flags.
 
-    The fast variant stops after ten iterations. (Rotating its four scaled features onto all
+    The fast variant stops after ten iterations and takes the flags unscaled. (Rotating its four scaled features onto all
     four singular vectors would not change a distance, so that step is left out.)
     """
     if fast:
         columns = ["rating_count", "rating_mean", "rating_std", "movie_diversity"]
         hashed = [c for c in movie_features.columns if c.startswith("genre_hash_")]
         users = kmeans(user_features, columns, user_k, "userId", max_iter=10)
-        items = kmeans(movie_features, hashed, item_k, "movieId", max_iter=10)
+        items = kmeans(movie_features, hashed, item_k, "movieId", max_iter=10, scaled=False)
     else:
         columns = ["rating_count", "activity_span_days", "rating_frequency"]
         flags = [c for c in numeric_columns(movie_features)

@@ -273,24 +273,24 @@ def cf_compare(star):
     return cf.cf_compare(train, test)
 
 
-ACTIVE = """
-req AS MATERIALIZED (SELECT "userId" FROM latest GROUP BY 1
-                     ORDER BY count(*) DESC, "userId" LIMIT 10)"""
+#: Searches ask for every user whose id is divisible by this, against all ratings.
+EVERY = 50
+REQUESTS = f"""
+req AS MATERIALIZED (SELECT DISTINCT "userId" FROM latest WHERE "userId" % {EVERY} = 0)"""
 UNSEEN = """
 unseen AS MATERIALIZED (SELECT "userId", "movieId" FROM req, (SELECT DISTINCT "movieId" FROM latest) AS i
                         EXCEPT SELECT "userId", "movieId" FROM latest)"""
 
 
-def most_active(ratings, n=10):
-    """The users to recommend to: the ``n`` with the most ratings."""
-    counts = ratings.groupBy("userId").agg(F.count(F.lit(1)).alias("n"))
-    return counts.orderBy(F.desc("n"), "userId").limit(n).select("userId")
+def requested(ratings):
+    """The users to recommend to."""
+    return ratings.where(F.col("userId") % EVERY == 0).select("userId").distinct()
 
 
-@query("candidate_items", f"WITH {ACTIVE}, {UNSEEN} SELECT * FROM unseen")
+@query("candidate_items", f"WITH {REQUESTS}, {UNSEEN} SELECT * FROM unseen")
 def candidate_items(star):
     ratings = rated(star)
-    return cf.candidate_items(most_active(ratings), ratings)
+    return cf.candidate_items(requested(ratings), ratings)
 
 
 def _for_requests(sql):
@@ -299,7 +299,7 @@ def _for_requests(sql):
 
 
 @query("recommend_user_cf", "WITH " + ",".join([
-    ACTIVE, UNSEEN, pairs_sql("user", name="up"), _for_requests(user_predictions("up", 50, "p"))
+    REQUESTS, UNSEEN, pairs_sql("user", name="up"), _for_requests(user_predictions("up", 50, "p"))
 ]) + """
 SELECT "userId", "movieId", prediction, CAST(row_number() OVER (PARTITION BY "userId"
          ORDER BY round(prediction, 9) DESC, "movieId") AS INTEGER) AS place
@@ -307,11 +307,11 @@ FROM p QUALIFY place <= 10
 """, "prediction")
 def recommend_user_cf(star):
     ratings = rated(star)
-    return cf.recommend_user_cf(stage(most_active(ratings)), ratings)
+    return cf.recommend_user_cf(stage(requested(ratings)), ratings)
 
 
 @query("recommend_item_cf", "WITH " + ",".join([
-    ACTIVE, UNSEEN.replace("unseen", "fresh"),
+    REQUESTS, UNSEEN.replace("unseen", "fresh"),
     pairs_sql("item", OWN.format('"userId"'), "latest", "ip", SHRUNK), directed_sql("ip"), """
 unseen AS MATERIALIZED (
   SELECT l."userId", neighbor AS "movieId" FROM latest l JOIN req USING ("userId")
@@ -327,4 +327,4 @@ FROM p QUALIFY place <= 10
 """, "prediction")
 def recommend_item_cf(star):
     ratings = rated(star)
-    return cf.recommend_item_cf(stage(most_active(ratings)), ratings)
+    return cf.recommend_item_cf(stage(requested(ratings)), ratings)
