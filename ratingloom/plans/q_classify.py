@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ratingloom.functions.staging import stage
 from ratingloom.operators import cf, classify, features, genres, matrix
 from ratingloom.plans.q_regress import SCALED, split
+from ratingloom.operators.nearest import pivot_nearest
 from ratingloom.plans.registry import query
 
 HASHED = """
@@ -48,6 +49,25 @@ def smote_oversample(star):
                                          F.count("userId").alias("originals"))
 
 
+@query("nearest_users", """
+WITH u AS MATERIALIZED (
+  SELECT "userId", avg(rating) AS a, coalesce(stddev_samp(rating), 0) AS b,
+         avg(CAST(rating >= 4 AS INTEGER)) AS c, avg(CAST(rating <= 2 AS INTEGER)) AS d
+  FROM ratings GROUP BY 1),
+p AS (SELECT x."userId" AS id, y."userId" AS neighbor,
+             sqrt((x.a - y.a) ** 2 + (x.b - y.b) ** 2 + (x.c - y.c) ** 2 + (x.d - y.d) ** 2) AS e
+      FROM u x JOIN u y ON x."userId" <> y."userId")
+SELECT id, neighbor, CAST(row_number() OVER (PARTITION BY id ORDER BY round(e, 9), neighbor)
+                          AS INTEGER) AS place
+FROM p QUALIFY place <= 5
+""")
+def nearest_users(star):
+    """The five users nearest to each by behaviour, as oversampling looks for them."""
+    behavior = features.user_behavior(star.ratings)
+    return pivot_nearest(behavior.select(
+        F.col("userId").alias("id"), F.array(*BEHAVIOR).alias("x")), 5)[0]
+
+
 def classifier_rows(star):
     train, test = split(star)
 

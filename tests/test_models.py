@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from ratingloom.operators import classify, cluster, reduce, regress
+from ratingloom.operators import classify, cluster, nearest, reduce, regress
 from ratingloom.sources import models
 
 
@@ -203,6 +203,66 @@ def test_nearest_rows_by_blocks(spark):
             assert got[i] == [j for _, j in want]
 
 
+def brute_nearest(rows, k):
+    want = {}
+    for i, p in rows:
+        found = sorted((round(sum((a - b) ** 2 for a, b in zip(p, q)) ** 0.5, 9), j)
+                       for j, q in rows if j != i)
+        want[i] = [j for _, j in found[:k]]
+    return want
+
+
+def listed_nearest(found):
+    got = {}
+    for r in found.orderBy("id", "place").collect():
+        got.setdefault(r["id"], []).append(r["neighbor"])
+    return got
+
+
+@pytest.mark.parametrize("pivots, block_rows", [(4, 10), (16, 7), (64, 2048)])
+def test_pivots_find_the_nearest_rows(spark, pivots, block_rows):
+    rng = random.Random(11)
+    rows = [(i, [round(rng.gauss(4 * (i % 3), 1), 2), rng.random()]) for i in range(150)]
+    # rows of one vector, a lattice with ties, and vectors equally far from each other
+    rows += [(200 + i, [1.0, 1.0]) for i in range(60)]
+    rows += [(300 + i, [float(i % 5), float(i // 5)]) for i in range(25)]
+    df = spark.createDataFrame(rows, "id long, x array<double>")
+    found, share = nearest.pivot_nearest(df, 5, pivots, block_rows)
+    assert listed_nearest(found) == brute_nearest(rows, 5) and 0 < share
+
+
+def test_pivots_save_comparisons(spark):
+    rng = random.Random(12)
+    rows = [(i, [rng.gauss(20 * (i % 8), 1), rng.gauss(0, 1)]) for i in range(1500)]
+    df = spark.createDataFrame(rows, "id long, x array<double>")
+    found, share = nearest.pivot_nearest(df, 3, 16, 40)
+    assert listed_nearest(found) == brute_nearest(rows, 3)
+    assert share < 0.25
+
+
+def test_nearest_of_few_rows(spark):
+    schema = "id long, x array<double>"
+    for rows, want in (([], {}), ([(1, [2.0])], {}), ([(1, [2.0]), (2, None)], {}),
+                       ([(1, [2.0]), (2, [2.0]), (3, [5.0])], {1: [2, 3], 2: [1, 3], 3: [1, 2]})):
+        found, _ = nearest.pivot_nearest(spark.createDataFrame(rows, schema), 5)
+        assert listed_nearest(found) == want
+
+
+def test_made_rows_lie_between_neighbors(spark):
+    rng = random.Random(13)
+    rows = [(i, rng.random(), rng.random(), int(i < 30)) for i in range(150)]
+    out = classify.smote_oversample(
+        spark.createDataFrame(rows, "k long, a double, b double, label int"), ["a", "b"], "k")
+    small = [(i, np.array([a, b])) for i, a, b, label in rows if label]
+    near = brute_nearest(small, 5)
+    ways = [(p, dict(small)[j] - p) for i, p in small for j in near[i]]
+    for r in out.where("k is null").collect():
+        z = np.array([r["a"], r["b"]])
+        assert any(
+            abs(way[0] * (z - p)[1] - way[1] * (z - p)[0]) < 1e-12 and -1e-12 <= (z - p) @ way <= way @ way + 1e-12
+            for p, way in ways)
+
+
 def test_smote_balances_between_neighbors(spark):
     rng = random.Random(10)
     rows = [(i, rng.random() + (3 if i < 20 else 0), rng.random(), 1 if i < 20 else 0)
