@@ -7,7 +7,7 @@ from collections.abc import Sequence
 import numpy as np
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -17,6 +17,7 @@ from ratingloom.operators import scale
 from ratingloom.operators.clean import numeric_columns
 from ratingloom.operators.features import user_statistics
 from ratingloom.operators.genres import genre_names, user_genre_prefs
+from ratingloom.operators.linkage import cut_spanning_tree, spanning_tree
 from ratingloom.operators.matrix import outer_align
 from ratingloom.operators.reduce import assemble, pca
 from ratingloom.operators.tags import tag_frequency_pivot
@@ -193,7 +194,11 @@ def cut_tree(n: int, merges: list[tuple], k: int | None = None, height: float |
     return [names[x] for x in label]
 
 
-def elbow(heights: Sequence[float], last: int = 50) -> int:
+#: Merges among which the elbow is looked for.
+ELBOW_MERGES = 50
+
+
+def elbow(heights: Sequence[float], last: int = ELBOW_MERGES) -> int:
     """The number of clusters at which the merge heights bend most (their second difference),
     looked for among the last merges; 1 if there are too few to bend.
 
@@ -214,18 +219,32 @@ def hierarchical_two_level(df: DataFrame, columns: Sequence[str], key: str,
     """``{(linkage, k): (key, cluster)}``: k-means micro-clusters on Spark, then linkage merges.
 
     ``micro`` is the resolution: so many centres reach the driver, whatever the number of rows;
-    the labels go back to the rows as a lookup by micro-cluster.
+    the labels go back to the rows as a lookup by micro-cluster. Single linkage needs no centres:
+    it cuts the minimum spanning tree of all rows (``linkage.spanning_tree``).
     """
     scaled = scale.scale_standard(df.fillna(0, subset=list(columns)), columns)
     data = stage(assemble(scaled, [f"{c}_scaled" for c in columns]).select(key, "features"))
+    out = {}
+    if "single" in linkages:
+        rows = stage(data.select(F.col(key).alias("id"), vector_to_array("features").alias("x")))
+        tree = spanning_tree(rows)
+        for k in cuts:
+            count = k
+            if k is None and height is None:
+                top = tree.select("height").orderBy(F.desc("height")).limit(ELBOW_MERGES).collect()
+                count = elbow([r["height"] for r in reversed(top)])
+            labels = cut_spanning_tree(tree, rows.select("id"), count, height)
+            out[("single", k)] = labels.select(F.col("id").alias(key), "cluster")
+    others = [linkage for linkage in linkages if linkage != "single"]
+    if not others:
+        return out
     model = KMeans(k=micro, seed=seed, maxIter=20).fit(data)
     centers = np.array(model.clusterCenters())
     placed = stage(model.transform(data).select(key, F.col("prediction").alias("micro")))
     counts = {r["micro"]: r["count"] for r in placed.groupBy("micro").count().collect()}
     used = [i for i in range(len(centers)) if counts.get(i)]
     sizes = np.array([counts[i] for i in used])
-    out = {}
-    for linkage in linkages:
+    for linkage in others:
         merges = merge_tree(centers[used], sizes, linkage)
         for k in cuts:
             labels = dict(zip(used, cut_tree(len(used), merges, k, height)))
@@ -274,7 +293,7 @@ def cluster_quality(df: DataFrame, columns: Sequence[str], cluster: str = "clust
 
 def compare_linkages(df: DataFrame, columns: Sequence[str], key: str,
                      linkages: Sequence[str] = ("ward", "complete", "average", "single"),
-                     ks: Sequence[int] = (5, 10, 15, 20), micro: int = 200) -> DataFrame:
+                     ks: Sequence[int] = (5, 10, 15, 20), micro: int = 500) -> DataFrame:
     """Quality of every linkage and cluster number, best silhouette first."""
     scaled = stage(scale.scale_standard(df.fillna(0, subset=list(columns)), columns).select(
         key, *[f"{c}_scaled" for c in columns]))

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ratingloom.functions.staging import stage
-from ratingloom.operators import cluster, features, genres
+from ratingloom.operators import cluster, features, genres, linkage
 from ratingloom.plans.q_features import AS_OF_YEAR
 from ratingloom.plans.registry import query
 
@@ -112,6 +115,41 @@ def hierarchical_two_level(star):
     return labels.select("movieId", (F.col("cluster") >= 1).alias("clustered"))
 
 
+#: Distances at which the tree of the items is cut, in stars.
+LEVELS = (0.0101, 0.0203, 0.0407)
+
+
+@query("single_linkage", f"""
+WITH RECURSIVE s AS MATERIALIZED (
+  SELECT "movieId" AS id, avg(rating) AS x, coalesce(stddev_samp(rating), 0) AS y
+  FROM ratings GROUP BY 1),
+h AS (SELECT i AS level, [{", ".join(map(str, LEVELS))}][i + 1] AS height
+      FROM unnest(range({len(LEVELS)})) AS u(i)),
+near AS MATERIALIZED (
+  SELECT level, a.id AS a, b.id AS b FROM s a JOIN s b ON a.id <> b.id JOIN h
+    ON sqrt((a.x - b.x) ** 2 + (a.y - b.y) ** 2) <= height),
+r(level, id, c) USING KEY (level, id) AS (
+  SELECT level, id, id FROM s, h
+  UNION
+  SELECT near.level, b, min(r.c) FROM r JOIN near ON near.level = r.level AND a = r.id
+  JOIN recurring.r AS known ON known.level = near.level AND known.id = b
+  WHERE r.c < known.c GROUP BY 1, 2)
+SELECT CAST(level AS INTEGER) AS level, id AS "movieId",
+       CAST(dense_rank() OVER (PARTITION BY level ORDER BY c) AS INTEGER) AS cluster FROM r
+""")
+def single_linkage(star):
+    """Clusters of all items by mean and spread of their ratings, at three heights of one tree."""
+    items = stage(star.ratings.groupBy(F.col("movieId").alias("id")).agg(F.array(
+        F.avg("rating"), F.coalesce(F.stddev_samp("rating"), F.lit(0.0))).alias("x")))
+    tree = linkage.spanning_tree(items)
+    levels = [
+        linkage.cut_spanning_tree(tree, items, height=height)
+        .select(F.lit(i).alias("level"), F.col("id").alias("movieId"), "cluster")
+        for i, height in enumerate(LEVELS)
+    ]
+    return reduce(DataFrame.unionByName, levels)
+
+
 @query("movie_cluster_features", """
 WITH s AS (SELECT "movieId", count(*) AS rating_count, avg(rating) AS rating_mean,
                   coalesce(stddev_samp(rating), 0) AS rating_std, min(rating) AS rating_min,
