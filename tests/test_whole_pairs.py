@@ -1,12 +1,83 @@
-"""The pair product by a join on features."""
+"""All pairs, also those of small similarity, and the pair product by a join on features."""
 
 import itertools
+import math
 import random
+from types import SimpleNamespace
 
 import pytest
 
 from ratingloom.functions.staging import stage
 from ratingloom.operators import gram
+from ratingloom.plans import q_cf
+
+
+def rated_at_random(seed, users=14, items=11):
+    rng = random.Random(seed)
+    return {(u, m): rng.randint(1, 10) / 2 for u in range(users) for m in range(items) if rng.random() < 0.4}
+
+
+def pair_table(cells, row):
+    """(a, b): values of both at every common feature."""
+    out = {}
+    for (p, x), (q, y) in itertools.product(cells.items(), repeat=2):
+        if p[1 - row] == q[1 - row] and p[row] < q[row]:
+            out.setdefault((p[row], q[row]), []).append((x, y))
+    return out
+
+
+def lengths(cells, row):
+    out = {}
+    for key, v in cells.items():
+        out[key[row]] = out.get(key[row], 0.0) + v * v
+    return {r: math.sqrt(v) for r, v in out.items()}
+
+
+def centred(cells, by):
+    parts = {}
+    for key, v in cells.items():
+        parts.setdefault(key[by], []).append(v)
+    return {key: v - sum(parts[key[by]]) / len(parts[key[by]]) for key, v in cells.items()}
+
+
+def cosines(cells, row):
+    norm = lengths(cells, row)
+    return {(a, b): (sum(x * y for x, y in both) / (norm[a] * norm[b]) if norm[a] * norm[b] else 0.0, len(both))
+            for (a, b), both in pair_table(cells, row).items()}
+
+
+def jaccards(cells):
+    count = {u: sum(1 for key in cells if key[0] == u) for u, _ in cells}
+    return {(a, b): (len(both) / (count[a] + count[b] - len(both)), len(both))
+            for (a, b), both in pair_table(cells, 0).items()}
+
+
+def boosted(pairs):
+    return {(a, b): (min(1.2 * s, 1.0) if a % 8 == b % 8 else s, n) for (a, b), (s, n) in pairs.items()}
+
+
+WANT = {
+    "co_rating_pairs": lambda c: {k: (sum(x * y for x, y in v), len(v)) for k, v in pair_table(c, 0).items()},
+}
+
+
+@pytest.mark.parametrize("name", sorted(WANT))
+def test_queries_sum_up_every_pair(spark, ratings, name):
+    cells = rated_at_random(1)
+    movies = spark.createDataFrame([(m, ["same"]) for m in range(11)], "movieId long, genre_list array<string>")
+    star = SimpleNamespace(ratings=ratings([(u, m, v, "2020-01-01 00:00:00") for (u, m), v in cells.items()]),
+                           clean_movies=movies)
+    want = {}
+    for (a, b), (sim, n) in WANT[name](cells).items():
+        for entity in (a, b):
+            want.setdefault(entity, []).append((sim, n))
+    got = {r["entity"]: r for r in getattr(q_cf, name)(star).collect()}
+    assert got.keys() == want.keys()
+    for entity, pairs in want.items():
+        sims, row = [s for s, _ in pairs], got[entity]
+        assert (row["n_pairs"], row["n_common"]) == (len(pairs), sum(n for _, n in pairs))
+        assert [row["sum_sim"], row["sum_square"], row["min_sim"], row["max_sim"]] == pytest.approx(
+            [sum(sims), sum(s * s for s in sims), min(sims), max(sims)], abs=1e-9)
 
 
 def entries(spark, rows):
