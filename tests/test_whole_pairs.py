@@ -60,6 +60,7 @@ WANT = {
     "co_rating_pairs": lambda c: {k: (sum(x * y for x, y in v), len(v)) for k, v in pair_table(c, 0).items()},
     "user_similarity_cosine": lambda c: cosines(c, 0),
     "user_similarity_pearson": lambda c: cosines(centred(c, 0), 0),
+    "user_similarity_jaccard": jaccards,
 }
 
 
