@@ -62,6 +62,7 @@ WANT = {
     "user_similarity_pearson": lambda c: cosines(centred(c, 0), 0),
     "user_similarity_jaccard": jaccards,
     "similarity_cluster_boost": lambda c: boosted(cosines(c, 0)),
+    "item_similarity_cosine": lambda c: cosines(c, 1),
 }
 
 
