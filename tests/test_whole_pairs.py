@@ -63,6 +63,7 @@ WANT = {
     "user_similarity_jaccard": jaccards,
     "similarity_cluster_boost": lambda c: boosted(cosines(c, 0)),
     "item_similarity_cosine": lambda c: cosines(c, 1),
+    "item_similarity_adjusted": lambda c: cosines(centred(c, 0), 1),
 }
 
 
