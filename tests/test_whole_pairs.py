@@ -64,6 +64,7 @@ WANT = {
     "similarity_cluster_boost": lambda c: boosted(cosines(c, 0)),
     "item_similarity_cosine": lambda c: cosines(c, 1),
     "item_similarity_adjusted": lambda c: cosines(centred(c, 0), 1),
+    "item_similarity_correlation": lambda c: cosines(centred(c, 1), 1),
 }
 
 
