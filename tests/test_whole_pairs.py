@@ -65,6 +65,8 @@ WANT = {
     "item_similarity_cosine": lambda c: cosines(c, 1),
     "item_similarity_adjusted": lambda c: cosines(centred(c, 0), 1),
     "item_similarity_correlation": lambda c: cosines(centred(c, 1), 1),
+    "similarity_shrinkage": lambda c: {k: (s * n / (n + 100), n)
+                                       for k, (s, n) in cosines(centred(c, 0), 1).items()},
 }
 
 
