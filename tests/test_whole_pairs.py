@@ -67,6 +67,9 @@ WANT = {
     "item_similarity_correlation": lambda c: cosines(centred(c, 1), 1),
     "similarity_shrinkage": lambda c: {k: (s * n / (n + 100), n)
                                        for k, (s, n) in cosines(centred(c, 0), 1).items()},
+    "hybrid_similarity": lambda c: {
+        k: (0.8 * cosines(c, 1).get(k, (0.0, 0))[0] + 0.2, cosines(c, 1).get(k, (0.0, 0))[1])
+        for k in itertools.combinations(sorted({m for _, m in c}), 2)},
 }
 
 
