@@ -8,7 +8,7 @@ from types import SimpleNamespace
 import pytest
 
 from ratingloom.functions.staging import stage
-from ratingloom.operators import gram
+from ratingloom.operators import cf, gram, neighbors
 from ratingloom.plans import q_cf
 
 
@@ -139,3 +139,49 @@ def test_product_of_crowded_and_rare_features(spark, monkeypatch):
 def test_product_of_nothing(spark):
     assert gram.gram_pairs(entries(spark, [(1, 1, 1.0)]).limit(0)).collect() == []
     assert gram.gram_pairs(entries(spark, [(1, 1, 1.0), (2, 2, 1.0)])).collect() == []
+
+
+@pytest.mark.parametrize("of, shrinkage, costs", [
+    (of, s, c) for of, s in (("user", 0.0), ("item", 10.0)) for c in ((0.0, 1.0), (1.0, 0.0), (1e9, 1e9))])
+def test_nearest_raters_by_joins_or_blocks(spark, ratings, monkeypatch, of, shrinkage, costs):
+    cells = rated_at_random(6)
+    train = stage(ratings([(u, m, v, "2020-01-01 00:00:00") for (u, m), v in cells.items()]))
+    targets = ratings([(u, m, 0.0, "2020-01-01 00:00:00") for u in range(1, 15) for m in range(12)])
+    pairs = cf.similarity(train, of, "own")
+    pairs = stage(cf.shrink(pairs, shrinkage) if shrinkage else pairs)
+    monkeypatch.setattr(neighbors, "join_costs", lambda *a: costs)
+
+    def rows(df):
+        return {(r["entity"], r["context"], r["place"]): (r["neighbor"], pytest.approx(r["sim"]), r["rating"])
+                for r in df.collect()}
+
+    want = rows(cf.topk_neighbors(targets, train, pairs, of, 3))
+    assert want and rows(cf.nearest_raters(targets, train, of, 3, "own", shrinkage)) == want
+
+
+def test_sparse_predictions_copy_nothing_to_blocks(spark, ratings, monkeypatch):
+    monkeypatch.setattr(gram, "BLOCK_ROWS", 4)
+    monkeypatch.setattr(gram, "copies_by_cell", None)
+    monkeypatch.setattr(neighbors, "best_of_block", None)
+    rows = [(u, m, 1.0 + (u + m) % 4, "2020-01-01 00:00:00") for u in range(80) for m in (u // 2, 100 + u // 4)]
+    train = stage(ratings(rows))
+    found = cf.nearest_raters(train, train, "user", 9).collect()
+    assert {(r["entity"] // 4, r["neighbor"] // 4) for r in found} == {(i, i) for i in range(20)}
+    assert len(found) == 80 * (1 + 3)
+    near = cf.nearest_neighbors(train, "user", 2).collect()
+    assert len(near) == 160 and all(r["entity"] // 4 == r["neighbor"] // 4 for r in near)
+
+
+@pytest.mark.parametrize("density", [0.1, 0.4, 0.9])
+def test_recommendations_equal_those_from_all_candidates(spark, ratings, density):
+    rng = random.Random(8)
+    seen = {(u, m): rng.randint(1, 10) / 2 for u in range(20) for m in range(40)
+            if rng.random() < density * (u % 3) / 2 or (u == 0 and m < 3)}
+    table = stage(ratings([(u, m, v, "2020-01-01 00:00:00") for (u, m), v in seen.items()]))
+    asked = table.where("userId % 2 = 0").select("userId")
+    every = cf.predict_user_cf(cf.candidate_items(asked, table), table).drop("k")
+    want = {(r["userId"], r["place"]): (r["movieId"], pytest.approx(r["prediction"]))
+            for r in cf.best_first(every, 5).collect()}
+    got = {(r["userId"], r["place"]): (r["movieId"], r["prediction"])
+           for r in cf.recommend_user_cf(asked, table, 5).collect()}
+    assert want and got == want
