@@ -6,6 +6,7 @@ import random
 from types import SimpleNamespace
 
 import pytest
+from pyspark.sql import functions as F
 
 from ratingloom.functions.staging import stage
 from ratingloom.operators import cf, gram, neighbors
@@ -185,3 +186,23 @@ def test_recommendations_equal_those_from_all_candidates(spark, ratings, density
     got = {(r["userId"], r["place"]): (r["movieId"], r["prediction"])
            for r in cf.recommend_user_cf(asked, table, 5).collect()}
     assert want and got == want
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_candidates_are_not_shuffled(spark, ratings):
+    table = stage(ratings([(u, m, 3.0, "2020-01-01 00:00:00") for u in range(6) for m in range(9) if (u + m) % 3]))
+    asked = table.where("userId % 2 = 0").select("userId").unionByName(spark.createDataFrame([(None,), (77,)], "userId long"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = cf.candidate_items(asked, table)
+        lines = plan(found).splitlines()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    rated = {(r["userId"], r["movieId"]) for r in table.collect()}
+    assert sorted((r["userId"] if r["userId"] is not None else -1, r["movieId"]) for r in found.collect()) == sorted(
+        (u, m) for u in (-1, 0, 2, 4, 77) for m in range(9) if (u, m) not in rated)
+    product = next(i for i, line in enumerate(lines) if "NestedLoopJoin" in line or "CartesianProduct" in line)
+    assert not any("Exchange" in line for line in lines[:product])
