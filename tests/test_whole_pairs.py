@@ -206,3 +206,15 @@ def test_candidates_are_not_shuffled(spark, ratings):
         (u, m) for u in (-1, 0, 2, 4, 77) for m in range(9) if (u, m) not in rated)
     product = next(i for i, line in enumerate(lines) if "NestedLoopJoin" in line or "CartesianProduct" in line)
     assert not any("Exchange" in line for line in lines[:product])
+
+
+def test_two_classes_are_not_dealt_to_two_tasks(spark, ratings):
+    rows = [(u, m, 3.0 + (u % 2), "2020-01-01 00:00:00") for u in range(40) for m in range(30)]
+    labelled = stage(ratings(rows)).withColumn("label", F.col("rating") >= 4)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "6000")
+    try:
+        train, test = cf.stratified_split(labelled, ["userId", "movieId"], "label")
+        assert "BroadcastHashJoin" in plan(train) and "SortMergeJoin" not in plan(train)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert train.count() + test.count() == len(rows)
