@@ -113,3 +113,22 @@ def test_group_hook_merges_partial_results(ratings):
     got = {r["userId"]: (r["s"], r["n"]) for r in out.collect()}
     assert got == {1: (sum(i % 5 + 1 for i in range(40)), 40),
                    2: (sum(i % 5 + 1 for i in range(7)), 7)}
+
+
+@pytest.mark.parametrize("hot", [1_000_000, 30])
+def test_group_hook_summarises_a_group_once_and_a_hot_one_in_parts(spark, monkeypatch, hot):
+    monkeypatch.setattr(hooks, "HOT_ROWS", hot)
+    calls = spark.sparkContext.accumulator(0)
+    rows = [(u, float(i)) for i in range(20) for u in range(50)] + [(7, 1.0)] * 200 + [(None, 1.0)]
+    df = spark.createDataFrame(rows, "k long, v double").repartition(20)
+
+    def partial(group):
+        calls.add(1)
+        return {"s": group["v"].sum(), "n": len(group)}
+
+    out = hooks.apply_per_group(
+        df, "k", "long", partial, lambda p: {"s": p["s"].sum(), "n": p["n"].sum()},
+        "s double, n long")
+    got = {r["k"]: (r["s"], r["n"]) for r in out.collect()}
+    assert got == {u: (190.0 + 200 * (u == 7), 20 + 200 * (u == 7)) for u in range(50)}
+    assert calls.value == 50 if hot > 1000 else 50 < calls.value <= 58
