@@ -4,15 +4,20 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
+import pandas as pd
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ratingloom.functions.staging import stage
 from ratingloom.functions.stats import dense_index
-from ratingloom.operators.gram import gram_pairs
+from ratingloom.operators.gram import MAX_TASKS, gram_pairs
 
 WORD = 63  # users per word of the vertical layout; one bit stays for the sign
+BLOCK_WORDS = 512  # words of the vertical layout that one group of a count holds
+SLICE = 50_000  # candidates that one group of a count holds
+CHUNK = 256  # candidates whose bit sets are intersected at once
 
 
 def transactions(ratings: DataFrame, item: str = "item", threshold: float = 4.0,
@@ -93,7 +98,8 @@ def frequent_itemsets_apriori(baskets: DataFrame, min_support: float = 0.01,
 
     Pairs come from the blocked product of the item x user matrix. From size three on,
     candidates are joined on their common prefix, those with an infrequent subset are
-    dropped, and the rest are counted by intersecting bit sets of users.
+    dropped, and the rest are counted by intersecting bit sets of users, block by block of
+    users, so that what is shuffled is a number per candidate and block.
     """
     n = basket_count(baskets)
     least = min_count(n, min_support)
@@ -118,14 +124,15 @@ def frequent_itemsets_apriori(baskets: DataFrame, min_support: float = 0.01,
         if max_size is not None and size > max_size:
             break
         bits = stage(vertical(useful)) if bits is None else bits
-        current = stage(_next_level(current, bits, size, least))
+        current = stage(_next_level(current, bits, size, least, n))
     whole = levels[0]
     for level in levels[1:]:
         whole = whole.unionByName(level)
     return whole.withColumn("support", F.col("freq") / n)
 
 
-def _next_level(level: DataFrame, bits: DataFrame, size: int, least: int) -> DataFrame:
+def _next_level(level: DataFrame, bits: DataFrame, size: int, least: int, users: int
+                ) -> DataFrame:
     parts = level.select(
         F.slice("items", 1, size - 2).alias("prefix"), F.element_at("items", -1).alias("last"))
     candidates = (
@@ -136,21 +143,55 @@ def _next_level(level: DataFrame, bits: DataFrame, size: int, least: int) -> Dat
     subsets = candidates.select("items", F.explode(F.transform(
         "items", lambda x, i: F.filter("items", lambda y, j: j != i))).alias("subset"))
     known = level.select(F.col("items").alias("subset"))
-    whole = (
+    whole = stage(
         subsets.join(known, "subset").groupBy("items").agg(F.count(F.lit(1)).alias("found"))
         .where(F.col("found") == size).select("items")
+        .withColumn("id", F.monotonically_increasing_id())
     )
-    words = (
-        whole.withColumn("item", F.explode("items")).join(bits, "item")
-        .groupBy("items", "word")
-        .agg(F.count(F.lit(1)).alias("present"), F.bit_and("bits").alias("both"))
-        .where(F.col("present") == size)
+    counts = _counted(whole, bits, users).where(F.col("freq") >= least)
+    return whole.join(counts, "id").select("items", "freq")
+
+
+def _counted(candidates: DataFrame, bits: DataFrame, users: int) -> DataFrame:
+    """``id, freq``: the users that have all ``items`` of a candidate.
+
+    A group holds the bit sets of a block of users and a slice of the candidates.
+    """
+    blocks = max(1, math.ceil(users / (WORD * BLOCK_WORDS)))
+    slices = max(1, math.ceil(candidates.count() / SLICE))
+    groups = min(blocks * slices, MAX_TASKS)
+    block = F.expr(f"word div {BLOCK_WORDS}").alias("block")
+    asked = (
+        candidates.crossJoin(bits.select(block).distinct())
+        .select("block", F.pmod(F.xxhash64("id"), F.lit(slices)).alias("slice"), "id", "items")
+        .repartition(groups, "block", "slice").groupBy("block", "slice")
     )
-    return (
-        words.groupBy("items").agg(F.sum(F.bit_count("both").cast("long")).alias("freq"))
-        .where(F.col("freq") >= least)
+    held = (
+        bits.select(block, F.explode(F.expr(f"sequence(0L, {slices - 1}L)")).alias("slice"),
+                    "item", F.expr(f"cast(word % {BLOCK_WORDS} as int)").alias("word"), "bits")
+        .repartition(groups, "block", "slice").groupBy("block", "slice")
     )
 
+    def count(asked: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
+        if not len(asked):
+            return pd.DataFrame({"id": [], "n": []}).astype("int64")
+        rows, names = pd.factorize(held["item"])
+        sets = np.zeros((len(names) + 1, BLOCK_WORDS), np.int64)  # the last for an item nobody has
+        sets[rows, held["word"].to_numpy()] = held["bits"].to_numpy()
+        places = pd.Index(names).get_indexer(np.concatenate(asked["items"].to_numpy()))
+        places = places.reshape(len(asked), -1)
+        found = np.empty(len(asked), np.int64)
+        for start in range(0, len(places), CHUNK):
+            part = places[start:start + CHUNK]
+            both = sets[part[:, 0]]
+            for column in part.T[1:]:
+                both &= sets[column]
+            found[start:start + CHUNK] = np.bitwise_count(both).sum(axis=1, dtype=np.int64)
+        return pd.DataFrame({"id": asked["id"].to_numpy(), "n": found})[found > 0]
+
+    return (asked.cogroup(held).applyInPandas(count, "id long, n long")
+            .groupBy("id").agg(F.sum("n").alias("freq")))
+
 
 def association_rules(itemsets: DataFrame, min_confidence: float = 0.5, min_lift: float = 1.0
                       ) -> DataFrame:

@@ -160,6 +160,22 @@ def test_rule_subset_join_over_more_items_than_a_word(spark):
     assert sorted((r["userId"], tuple(r["antecedents"])) for r in found.collect()) == want
 
 
+def test_candidates_are_counted_by_block_and_not_by_word(spark, monkeypatch):
+    monkeypatch.setattr(rules, "BLOCK_WORDS", 2)
+    monkeypatch.setattr(rules, "SLICE", 3)
+    monkeypatch.setattr(rules, "CHUNK", 2)
+    rng = random.Random(4)
+    held = {u: {f"i{i}" for i in range(6) if rng.random() < 0.6} for u in range(700)}
+    baskets = spark.createDataFrame(
+        [(u, i) for u, b in held.items() for i in b], "userId long, item string")
+    bits = stage(rules.vertical(baskets))
+    lists = [list(c) for c in itertools.combinations([f"i{i}" for i in range(6)] + ["nobody"], 3)]
+    asked = stage(spark.createDataFrame(list(enumerate(lists)), "id long, items array<string>"))
+    got = {r["id"]: r["freq"] for r in rules._counted(asked, bits, len(held)).collect()}
+    want = {k: sum(set(c) <= b for b in held.values()) for k, c in enumerate(lists)}
+    assert got == {k: n for k, n in want.items() if n}
+
+
 def test_stratified_cuts_are_exact_quantiles(spark):
     rng = random.Random(9)
     rows = [(rng.choice(["a", "b", None]), rng.randrange(2 ** 32)) for _ in range(500)]
