@@ -18,6 +18,7 @@ WORD = 63  # users per word of the vertical layout; one bit stays for the sign
 BLOCK_WORDS = 512  # words of the vertical layout that one group of a count holds
 SLICE = 50_000  # candidates that one group of a count holds
 CHUNK = 256  # candidates whose bit sets are intersected at once
+TASK_ITEMS = 200_000  # basket items whose antecedents one task looks for
 
 
 def transactions(ratings: DataFrame, item: str = "item", threshold: float = 4.0,
@@ -258,34 +259,55 @@ def rule_sides(rules: DataFrame) -> DataFrame:
 
 def rule_subset_join(rules: DataFrame, baskets: DataFrame, sides: DataFrame | None = None
                      ) -> DataFrame:
-    """``userId, side, antecedents``: the antecedents wholly inside a user's basket.
+    """``userId, side, antecedents``: the antecedents wholly inside a user's basket."""
+    sides = rule_sides(rules) if sides is None else sides
+    return _met_sides(sides, baskets).join(sides, "side").select("userId", "side", "antecedents")
+
 
-    Each antecedent list meets the baskets through its rarest item; a basket found that way
-    is asked for the other items one by one, and has the list if it answers them all. Rows
-    stay rows, so neither the plan nor a row grows with the rules or with a user's history.
+def _met_sides(sides: DataFrame, baskets: DataFrame) -> DataFrame:
+    """``userId, side``, dealt by user.
+
+    Each antecedent list meets the baskets through its rarest item, and the other items are
+    looked up in the basket at hand: a bit for each item that any list has, so what a row carries
+    is bounded by the lists and not by a user's history. Only the baskets are shuffled.
     """
-    sides = rule_sides(rules) if sides is None else sides
     items = sides.select("side", F.explode(F.array_distinct("antecedents")).alias("item"))
     kept = stage(baskets.select("userId", "item").join(
-        items.select("item").distinct(), "item", "left_semi").distinct())
-    freq = kept.groupBy("item").agg(F.count(F.lit(1)).alias("freq"))
+        items.select("item").distinct(), "item", "left_semi"))
     # an item no basket has leaves its lists without a match
-    parts = items.join(freq, "item", "left").groupBy("side").agg(
-        F.array_sort(F.collect_list(F.struct(F.coalesce("freq", F.lit(0)).alias("freq"), "item")))
-        .alias("parts"))
-    asked = parts.select("side", F.col("parts")[0]["item"].alias("item"),
-                         F.expr("slice(parts, 2, size(parts))").alias("rest"))
-    met = kept.join(asked, "item").select("userId", "side", "rest")
-    more = F.size("rest") > 0
-    whole = (
-        met.where(more)
-        .select("userId", "side", F.size("rest").alias("need"), F.explode("rest.item").alias("item"))
-        .join(kept, ["userId", "item"])
-        .groupBy("userId", "side", "need").agg(F.count(F.lit(1)).alias("has"))
-        .where("has = need").select("userId", "side")
+    freq = (items.select("item").distinct()
+            .join(kept.groupBy("item").agg(F.count(F.lit(1)).alias("freq")), "item", "left")
+            .select("item", F.coalesce("freq", F.lit(0)).alias("freq")))
+    freq = stage(freq.join(dense_index(freq, "item", "i"), "item", "left").select(
+        "item", "freq", "i", F.expr(f"i div {WORD}").alias("word"),
+        F.expr(f"shiftleft(cast(1 as bigint), cast(i % {WORD} as int))").alias("bit")))
+    parts = (
+        items.join(freq, "item", "left").groupBy("side", "word")
+        .agg(F.min(F.struct("freq", "item", "i")).alias("rare"), F.bit_or("bit").alias("mask"))
+        .groupBy("side").agg(
+            F.min("rare").alias("rare"), F.collect_list(F.struct("word", "mask")).alias("masks"))
+    )
+    asked = stage(parts.where(F.col("rare.freq") > 0).select(
+        "side", F.col("rare.i").alias("i"), F.col("masks")[0].alias("one"),
+        F.expr("slice(masks, 2, size(masks))").alias("more"),
+        F.expr("aggregate(masks, 0L, (n, m) -> n + bit_count(m.mask))").alias("size")))
+    size = freq.agg(F.coalesce(F.sum("freq"), F.lit(0))).first()[0]
+    cores = baskets.sparkSession.sparkContext.defaultParallelism
+    tasks = min(max(2 * cores, math.ceil(size / TASK_ITEMS)), MAX_TASKS)
+    users = (
+        kept.join(freq.select("item", "i", "word", "bit"), "item").repartition(tasks, "userId")
+        .groupBy("userId", "word").agg(F.bit_or("bit").alias("bits"), F.collect_set("i").alias("own"))
+        .groupBy("userId").agg(
+            F.map_from_entries(F.collect_list(F.struct("word", "bits"))).alias("held"),
+            F.flatten(F.collect_list("own")).alias("own"))
+    )
+    whole = "held[one.word] & one.mask = one.mask"
+    others = "size(more) = 0 or forall(more, m -> coalesce(held[m.word] & m.mask = m.mask, false))"
+    return (
+        users.select("userId", "held", F.explode("own").alias("i")).join(asked, "i")
+        .where(F.expr(f"({whole}) and ({others})"))
+        .where(F.col("userId").isNotNull() | (F.col("size") == 1)).select("userId", "side")
     )
-    return met.where(~more).select("userId", "side").unionByName(whole).join(
-        sides, "side").select("userId", "side", "antecedents")
 
 
 def rule_recommend(rules: DataFrame, baskets: DataFrame, n: int = 5) -> DataFrame:

@@ -176,6 +176,21 @@ def test_candidates_are_counted_by_block_and_not_by_word(spark, monkeypatch):
     assert got == {k: n for k, n in want.items() if n}
 
 
+def _executed(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+def test_antecedents_are_looked_up_without_a_shuffle_of_matches(spark):
+    lists = stage(spark.createDataFrame(
+        [(["a", "b", "c"],), (["b", "d"],), (["a"],)], "antecedents array<string>"))
+    baskets = stage(spark.createDataFrame(
+        [(u, i) for u in range(30) for i in "abcd" if (u + ord(i)) % 4], "userId long, item string"))
+    found = rules.rule_subset_join(lists, baskets)
+    assert _executed(found).count("Exchange hashpartitioning") == 1
+    assert "Exchange hashpartitioning(userId" in _executed(found)
+
+
 def test_stratified_cuts_are_exact_quantiles(spark):
     rng = random.Random(9)
     rows = [(rng.choice(["a", "b", None]), rng.randrange(2 ** 32)) for _ in range(500)]
