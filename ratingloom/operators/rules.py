@@ -310,16 +310,39 @@ def _met_sides(sides: DataFrame, baskets: DataFrame) -> DataFrame:
     )
 
 
+def _telling(best: DataFrame, sides: DataFrame) -> DataFrame:
+    """Rows of ``best(side, item, score)`` that can be the best of a basket.
+
+    Who meets a list meets its parts, so a list says nothing of an item that one of its items
+    alone, or all but one, gives as good a score. Of parts that say the same the smallest stays.
+    """
+    lists = sides.select("side", F.array_sort(F.array_distinct("antecedents")).alias("list"))
+    part = F.explode(F.concat(
+        F.transform("list", lambda x: F.array(x)),
+        F.transform("list", lambda x, i: F.filter("list", lambda y, j: j != i))))
+    parts = (
+        lists.where(F.size("list") > 1).select("side", part.alias("list")).distinct()
+        .join(lists.select(F.col("side").alias("part"), "list"), "list").select("side", "part")
+    )
+    other = best.select(F.col("side").alias("part"), "item", F.col("score").alias("known"))
+    lesser = (
+        best.join(parts, "side").join(other, ["part", "item"]).where("known >= score")
+        .select("side", "item")
+    )
+    return best.join(lesser, ["side", "item"], "left_anti").select("side", "item", "score")
+
+
 def rule_recommend(rules: DataFrame, baskets: DataFrame, n: int = 5) -> DataFrame:
     """``userId, item, score, place``: unseen consequents by the best confidence of any rule."""
     sides = rule_sides(rules)
-    best = (
+    best = stage(
         rules.select("antecedents", "confidence", F.explode("consequents").alias("item"))
         .join(sides, "antecedents").groupBy("side", "item")
         .agg(F.max("confidence").alias("score"))
     )
+    best = stage(_telling(best, sides))
     scored = (
-        rule_subset_join(rules, baskets, sides).select("userId", "side").join(best, "side")
+        _met_sides(sides.join(best, "side", "left_semi"), baskets).join(best, "side")
         .groupBy("userId", "item").agg(F.max("score").alias("score"))
         .join(baskets.select("userId", "item"), ["userId", "item"], "left_anti")
     )

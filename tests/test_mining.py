@@ -191,6 +191,36 @@ def test_antecedents_are_looked_up_without_a_shuffle_of_matches(spark):
     assert "Exchange hashpartitioning(userId" in _executed(found)
 
 
+def test_recommended_are_the_best_of_all_rules(spark):
+    rng = random.Random(12)
+    names = [f"i{i}" for i in range(7)]
+    rows = []
+    for _ in range(150):
+        both = rng.sample(names, rng.randint(2, 5))
+        cut = rng.randint(1, len(both) - 1)
+        rows.append((both[:cut], both[cut:], rng.randint(1, 8) / 8))
+    strong = stage(spark.createDataFrame(
+        rows, "antecedents array<string>, consequents array<string>, confidence double"))
+    held = {u: set(rng.sample(names, rng.randint(1, 5))) for u in range(60)}
+    baskets = stage(spark.createDataFrame(
+        [(u, i) for u, b in held.items() for i in b], "userId long, item string"))
+    want = []
+    for u, b in held.items():
+        best = {}
+        for left, right, score in rows:
+            if set(left) <= b:
+                for i in set(right) - b:
+                    best[i] = max(best.get(i, 0), score)
+        order = sorted(best, key=lambda i: (-best[i], i))[:3]
+        want += [(u, i, best[i], k + 1) for k, i in enumerate(order)]
+    got = sorted(tuple(r) for r in rules.rule_recommend(strong, baskets, 3).collect())
+    assert got == sorted(want)
+    sides = rules.rule_sides(strong)
+    asked = stage(strong.join(sides, "antecedents").selectExpr("side", "explode(consequents) item", "confidence")
+                  .groupBy("side", "item").agg({"confidence": "max"}).toDF("side", "item", "score"))
+    assert rules._telling(asked, sides).count() < asked.count()
+
+
 def test_stratified_cuts_are_exact_quantiles(spark):
     rng = random.Random(9)
     rows = [(rng.choice(["a", "b", None]), rng.randrange(2 ** 32)) for _ in range(500)]
