@@ -159,6 +159,26 @@ def test_passage_edges(spark):
     assert windows.repeated_passages(frame(spark, rows).limit(0)).collect() == []
 
 
+@pytest.mark.parametrize("changed", [0, 1])
+def test_passages_that_first_texts_quote_in_part(spark, changed):
+    rng = random.Random(changed)
+
+    def fill(n):
+        return [f"w{rng.randrange(10 ** 9)}" for _ in range(n)]
+
+    rows = []
+    for g in range(40):
+        whole = [f"p{g}x{i}" for i in range(55 if not changed else 80)]
+        other = whole[:60] + fill(changed) + whole[60 + changed:]
+        at = [rng.randrange(len(whole) - 40) for _ in range(4)]
+        texts = [whole[i:i + 41] for i in at] + [whole, other]
+        rows += [(10 * g + i, " ".join(fill(60) + t + fill(60)), None) for i, t in enumerate(texts)]
+    got = {r.doc_id: r for r in windows.repeated_passages(frame(spark, rows)).collect()}
+    assert sorted(got) == [10 * g + i for g in range(40) for i in (4, 5)]
+    assert all(r.class_id == i // 10 * 10 + 4 and r.n_links == 1 for i, r in got.items())
+    assert all(r.n_repeated == 55 for r in got.values()) or changed
+
+
 # --- language -----------------------------------------------------------------------------------
 
 def test_paths_are_the_best(spark):
