@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
 from pyspark.ml.clustering import KMeans
@@ -23,6 +24,9 @@ from ratingloom.operators.reduce import assemble, pca
 from ratingloom.operators.tags import tag_frequency_pivot
 from ratingloom.sources.schemas import NO_GENRES
 
+#: Starts of k-means that are fitted at a time; each holds its own cached copy of the vectors.
+STARTS_AT_ONCE = 4
+
 SEGMENT_COLUMNS = ["rating_count", "rating_mean", "rating_std", "rating_min", "rating_max",
                    "movieId_nunique", "activity_span_days", "rating_frequency", "rating_range"]
 
@@ -70,7 +74,8 @@ def kmeans(df: DataFrame, columns: Sequence[str], k: int, key: str, starts: int
     ``scaled``).
 
     ``reduce_to`` projects wider data on that many components first. Of several starts the
-    one with the lowest cost is kept.
+    one with the lowest cost is kept; they do not depend on each other, so the short jobs of one
+    fill the cores that those of another leave idle.
     """
     filled, names = df.fillna(0, subset=list(columns)), list(columns)
     if scaled:
@@ -81,13 +86,13 @@ def kmeans(df: DataFrame, columns: Sequence[str], k: int, key: str, starts: int
     else:
         data = assemble(filled, names).select(key, "features")
     data = stage(data)
-    best = None
-    for start in range(starts):
+
+    def fit(start: int):
         model = KMeans(k=max(2, k), seed=seed + start, maxIter=max_iter).fit(data)
-        cost = model.summary.trainingCost
-        if best is None or cost < best[1]:
-            best = (model, cost)
-    model, cost = best
+        return model, model.summary.trainingCost
+
+    with ThreadPoolExecutor(STARTS_AT_ONCE) as pool:
+        model, cost = min(pool.map(fit, range(starts)), key=lambda found: found[1])
     return model.transform(data).select(key, F.col("prediction").alias("cluster")), cost
 
 
