@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ratingloom.functions.staging import stage
-from ratingloom.operators import cf, gram, sweep
+from ratingloom.operators import cf, gram, neighbors, sweep
 
 
 def table(spark, seed=1):
@@ -116,3 +116,26 @@ def test_a_cluster_boost_joins_nothing_that_came_along(spark, ratings, no_produc
         return df._jdf.queryExecution().optimizedPlan().toString().count("Join")
 
     assert joins(cf.cluster_boost(found, clusters)) == joins(found)
+
+
+@pytest.mark.parametrize("of, shrinkage, piece, listed", [("user", 0.0, 1000, 1000), ("item", 10.0, 5, 0)])
+def test_raters_come_from_rows_that_pass(spark, ratings, monkeypatch, of, shrinkage, piece, listed):
+    rng = random.Random(6)
+    cells = {(u, m): rng.randint(1, 10) / 2 for u in range(25) for m in range(20) if rng.random() < 0.3}
+    train = stage(ratings([(u, m, v, "2020-01-01 00:00:00") for (u, m), v in cells.items()]))
+    targets = ratings([(u, m, 0.0, "2020-01-01 00:00:00") for u in range(3, 30) for m in range(22)])
+    pairs = cf.similarity(train, of, "own")
+    pairs = stage(cf.shrink(pairs, shrinkage) if shrinkage else pairs)
+
+    def rows(df):
+        return {(r["entity"], r["context"], r["place"]): (r["neighbor"], pytest.approx(r["sim"]), r["rating"])
+                for r in df.collect()}
+
+    want = rows(cf.topk_neighbors(targets, train, pairs, of, 3))
+    monkeypatch.setattr(sweep, "PIECE", piece)
+    monkeypatch.setattr(sweep, "LISTED", listed)
+    monkeypatch.setattr(sweep, "FEW", 0)
+    monkeypatch.setattr(sweep, "RATER_BYTES", 10**6)
+    for name in ("joined_raters", "neighbors_entries", "best_of_block"):
+        monkeypatch.setattr(neighbors, name, None)
+    assert want and rows(cf.nearest_raters(targets, train, of, 3, "own", shrinkage)) == want
