@@ -139,3 +139,51 @@ def test_raters_come_from_rows_that_pass(spark, ratings, monkeypatch, of, shrink
     for name in ("joined_raters", "neighbors_entries", "best_of_block"):
         monkeypatch.setattr(neighbors, name, None)
     assert want and rows(cf.nearest_raters(targets, train, of, 3, "own", shrinkage)) == want
+
+
+def some_ratings(ratings, seed):
+    rng = random.Random(seed)
+    rows = [(u, m, rng.randint(1, 10) / 2 if u != 6 else 2.0, "2020-01-01 00:00:00")
+            for u in range(24) for m in range(30) if rng.random() < 0.2 or u == m == 6]
+    table = stage(ratings(rows))
+    return table, stage(table.where("userId % 3 = 0").select("userId").distinct())
+
+
+@pytest.mark.parametrize("swept", [False, True])
+def test_item_recommendations_make_no_product(spark, ratings, monkeypatch, swept):
+    table, asked = some_ratings(ratings, 11)
+    mine = table.join(asked, "userId", "left_semi")
+    unseen = cf.candidate_items(asked, table)
+    fans = mine.where("rating >= 4").select("userId", F.col("movieId").alias("entity"))
+    pairs = stage(cf.shrink(cf.similarity(table, "item", "other"), 100.0))
+    close = {(r["userId"], r["movieId"]): r["sim"] for r in fans.join(
+        cf.both_ways(pairs).where("sim > 0"), "entity").groupBy("userId", F.col("neighbor").alias("movieId")).agg(
+            F.max("sim").alias("sim")).join(unseen, ["userId", "movieId"], "left_semi").collect()}
+    liked = {r["userId"] for r in fans.collect()}
+    assert 6 not in liked
+    close |= {(r["userId"], r["movieId"]): 0.0 for r in unseen.collect() if r["userId"] not in liked}
+    short = [(u, m) for u in {u for u, _ in close}
+             for _, m in sorted((-round(s, 9), m) for (w, m), s in close.items() if w == u)[:6]]
+    short = spark.createDataFrame(short, "userId long, movieId long")
+    want = {(r["userId"], r["place"]): (r["movieId"], pytest.approx(r["prediction"])) for r in cf.best_first(
+        cf.predict_item_cf(short, table, pairs, (30,)).drop("k"), 3).collect()}
+    monkeypatch.setattr(cf, "candidate_items", None)
+    if swept:
+        monkeypatch.setattr(sweep, "FEW", 0)
+        monkeypatch.setattr(sweep, "PRODUCT_BYTES", 10**6)
+        monkeypatch.setattr(cf, "similarity_to", None)
+    got = {(r["userId"], r["place"]): (r["movieId"], r["prediction"])
+           for r in cf.recommend_item_cf(asked, table, 3).collect()}
+    assert want and got == want
+
+
+def test_user_recommendations_predict_no_table_of_candidates(spark, ratings, monkeypatch):
+    table, asked = some_ratings(ratings, 12)
+    every = cf.predict_user_cf(cf.candidate_items(asked, table), table, ks=(2,), center="own").drop("k")
+    want = {(r["userId"], r["place"]): (r["movieId"], pytest.approx(r["prediction"]))
+            for r in cf.best_first(every, 5).collect()}
+    for name in ("candidate_items", "predict_user_cf", "known_pairs_filter"):
+        monkeypatch.setattr(cf, name, None)
+    got = {(r["userId"], r["place"]): (r["movieId"], r["prediction"])
+           for r in cf.recommend_user_cf(asked, table, 5, 2, "own").collect()}
+    assert want and got == want
