@@ -187,3 +187,8 @@ def test_user_recommendations_predict_no_table_of_candidates(spark, ratings, mon
     got = {(r["userId"], r["place"]): (r["movieId"], r["prediction"])
            for r in cf.recommend_user_cf(asked, table, 5, 2, "own").collect()}
     assert want and got == want
+
+
+def test_jaccard_leaves_out_null_users(ratings):
+    table = ratings([(u, m, 3.0, "2020-01-01 00:00:00") for u in (None, 1, 2) for m in (1, 2)])
+    assert [(r["a"], r["b"], r["sim"], r["n_common"]) for r in cf.jaccard(table).collect()] == [(1, 2, 1.0, 2)]
